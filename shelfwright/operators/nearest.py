@@ -1,12 +1,13 @@
 """Nearest vocabulary term within edit distance 3, without comparing every pair.
 
-Two strings within distance 3 share a common string that is reachable from each by deleting at most
-three characters. So both sides are expanded to their deletion variants and joined on equality; only
-strings that are already close meet, whatever prefix a vocabulary has in common. Options longer than
-``LONG`` characters would have too many variants; they are cut into four pieces, at least one of
-which an input within distance 3 holds unchanged, shifted by at most three places. Candidates are
-verified with the exact distance inside the join, so the filters only ever add work, never lose or
-invent a match.
+An option is cut into four pieces. At most three edits cannot touch all four, so an input in reach
+holds one piece unchanged, shifted by no more than the edits before it. Both sides are joined on
+equal pieces and the exact distance is checked on the pairs that meet, so the pieces only ever save
+work: no match is lost and none is invented.
+
+A piece that very many options share (a common prefix, say) would bring all of them together. Such
+options are matched by deletion variants instead: two strings in reach share a string that either
+becomes by losing at most three characters, and only strings that are close have one in common.
 """
 
 from __future__ import annotations
@@ -16,55 +17,82 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfwright import fixed_values as fixed
 
 REACH = fixed.NEAREST_MAX_DISTANCE
-LONG = 24
+PIECES = REACH + 1
+CROWDED = 1000  # options per piece from which the deletion variants take over
 
-_DELETE_ONE = (
-    "flatten(transform(v, s -> transform(sequence(1, greatest(length(s), 1)), "
-    "i -> concat(left(s, i - 1), substr(s, i + 1)))))"
-)
 
+def _piece_key(text: str, shift: str) -> str:
+    """Hash of piece ``i`` of an option of ``m`` characters, read from ``text`` at ``shift``."""
+    start, end = f"((i * m) div {PIECES})", f"(((i + 1) * m) div {PIECES})"
+    piece = f"substr({text}, cast({start} + {shift} + 1 as int), cast({end} - {start} as int))"
+    return f"xxhash64(m, i, {piece})"
 
-def _deletion_keys(folded: str) -> Column:
-    """Every string reachable from ``folded`` by deleting up to three characters."""
-    variants = f"array({folded})"
-    for _ in range(REACH):
-        # binding the array through a one-element transform evaluates it once per step
-        grown = f"array_distinct(concat(v, {_DELETE_ONE}))"
-        variants = f"element_at(transform(array({variants}), v -> {grown}), 1)"
-    return F.expr(variants)
 
+def _option_keys(terms: DataFrame) -> DataFrame:
+    keys = f"transform(sequence(0, {REACH}), i -> {_piece_key('_term', '0')})"
+    return terms.withColumn("m", F.length("_term")).withColumn("_key", F.explode(F.expr(keys))).drop("m")
 
-def _piece(text: str, size: str, index: str, shift: str) -> str:
-    pieces = REACH + 1
-    start = f"({index} * {size}) div {pieces}"
-    end = f"(({index} + 1) * {size}) div {pieces}"
-    return (
-        f"concat_ws('|', {size}, {index}, "
-        f"substr({text}, cast({start} + {shift} + 1 as int), cast({end} - {start} as int)))"
+
+def _asked_keys(asked: DataFrame, terms: DataFrame) -> DataFrame:
+    """Keys an input may share with options of each length in reach.
+
+    With ``i`` edits before piece ``i`` and the rest after it, the shift is at most ``i`` one way
+    and, measured from the end, at most ``REACH - i`` the other way; one such piece always exists.
+    Lengths that no option has are dropped first, so long junk is never taken apart.
+    """
+    lengths = terms.select(F.length("_term").alias("m")).distinct()
+    near = asked.withColumn("n", F.length("_asked"))
+    near = near.withColumn(
+        "m", F.explode(F.sequence(F.greatest(F.col("n") - REACH, F.lit(0)), F.col("n") + REACH))
+    ).join(lengths, "m", "left_semi")
+    low = f"greatest(-i, n - m - ({REACH} - i), -((i * m) div {PIECES}))"
+    high = f"least(i, n - m + ({REACH} - i))"
+    shifts = f"if({low} <= {high}, sequence(cast({low} as int), cast({high} as int)), array())"
+    keys = (
+        f"flatten(transform(sequence(0, {REACH}), i -> "
+        f"transform({shifts}, d -> {_piece_key('_asked', 'd')})))"
     )
+    return near.withColumn("_key", F.explode(F.array_distinct(F.expr(keys)))).drop("m", "n")
 
 
-def _option_pieces(folded: str) -> Column:
-    return F.expr(
-        f"transform(sequence(0, {REACH}), i -> {_piece(folded, f'length({folded})', 'i', '0')})"
+def _deletion_variants(text: str) -> Column:
+    """Every string reachable from ``text`` by deleting up to three characters."""
+    shorter = (
+        "flatten(transform(v, s -> transform(sequence(1, greatest(length(s), 1)), "
+        "i -> concat(left(s, i - 1), substr(s, i + 1)))))"
     )
+    variants = f"array({text})"
+    for _ in range(REACH):
+        # binding the array through a one-element transform evaluates it once per step
+        grown = f"array_distinct(concat(v, {shorter}))"
+        variants = f"element_at(transform(array({variants}), v -> {grown}), 1)"
+    return F.expr(variants)
 
 
-def _input_pieces(folded: str) -> Column:
-    """Pieces of every option length in reach, at every shift in reach."""
-    low = f"greatest(length({folded}) - {REACH}, {LONG + 1})"
-    shifted = _piece(folded, "m", "i", "d")
-    start = f"(i * m) div {REACH + 1} + d"
-    return F.expr(
-        f"array_distinct(flatten(flatten(transform(sequence({low}, length({folded}) + {REACH}), "
-        f"m -> transform(sequence(0, {REACH}), i -> transform(filter("
-        f"sequence(-{REACH}, {REACH}), d -> {start} >= 0 and {start} < length({folded})), "
-        f"d -> {shifted}))))))"
+def _crowded_pairs(asked: DataFrame, terms: DataFrame) -> DataFrame:
+    """Candidate pairs by shared deletion variant."""
+    by_variant = terms.withColumn("_variant", F.explode(_deletion_variants("_term")))
+    # all strings of up to three characters share the empty variant; through it the distance is the
+    # longer length, so the first option of each length stands for the others
+    blank = F.col("_variant") == ""
+    row = F.struct("_option", "_position", "_term", "_variant")
+    first_of_length = (
+        by_variant.where(blank)
+        .groupBy(F.length("_term").alias("m"))
+        .agg(F.min_by(row, "_position").alias("_row"))
+        .select("_row.*")
     )
+    by_variant = by_variant.where(~blank).unionByName(first_of_length)
+    wanted = asked.withColumn("_variant", F.explode(_deletion_variants("_asked")))
+    return wanted.join(by_variant, "_variant").select(*_PAIR)
+
+
+_PAIR = ["_input", "_asked", "_option", "_position", "_term"]
 
 
 def nearest_option(
-    inputs: DataFrame, value: str, options: DataFrame, option: str, position: str
+    inputs: DataFrame, value: str, options: DataFrame, option: str, position: str,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """``(value, suggestion, distance)`` for each distinct input that has an option in reach.
 
@@ -81,47 +109,20 @@ def nearest_option(
         .distinct()
         .withColumn("_asked", F.lower("_input"))
     )
-    # an input whose length no option comes near cannot match, so long junk is never expanded
-    reachable = (
-        terms.select(F.length("_term").alias("_length"))
-        .distinct()
-        .select(F.explode(F.sequence(F.col("_length") - REACH, F.col("_length") + REACH)).alias("_length"))
-        .distinct()
-    )
-    asked = (
-        asked.withColumn("_length", F.length("_asked"))
-        .join(reachable, "_length", "left_semi")
-        .drop("_length")
-    )
-
-    short_terms = terms.where(F.length("_term") <= LONG)
-    short_asked = asked.where(F.length("_asked") <= LONG + REACH)
-    short_keys = short_terms.withColumn("_variant", F.explode(_deletion_keys("_term")))
-    # strings of up to three characters all share the empty variant; there the distance is the
-    # longer length, so the first option of each length stands for all of them
-    blank = F.col("_variant") == ""
-    first_of_length = (
-        short_keys.where(blank)
-        .groupBy(F.length("_term").alias("_length"))
-        .agg(F.min_by(F.struct("_option", "_position", "_term", "_variant"), "_position").alias("_row"))
-        .select("_row.*")
-    )
-    short_keys = short_keys.where(~blank).unionByName(first_of_length)
-    long_keys = terms.where(F.length("_term") > LONG).withColumn(
-        "_variant", F.explode(_option_pieces("_term"))
-    )
-    asked_keys = short_asked.withColumn("_variant", F.explode(_deletion_keys("_asked"))).unionByName(
-        asked.where(F.length("_asked") > LONG - REACH).withColumn(
-            "_variant", F.explode(_input_pieces("_asked"))
-        )
-    )
-    key = F.xxhash64("_variant").alias("_key")
-    left = asked_keys.select("_input", "_asked", key)
-    right = short_keys.unionByName(long_keys).select("_option", "_position", "_term", key)
+    option_keys = _option_keys(terms)
+    asked_keys = _asked_keys(asked, terms)
+    heavy = option_keys.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > crowded)
+    heavy = heavy.select("_key")
+    if heavy.isEmpty():
+        pairs = asked_keys.join(option_keys, "_key").select(*_PAIR)
+    else:
+        light = option_keys.join(heavy, "_key", "left_anti")
+        crowd = option_keys.join(heavy, "_key", "left_semi").drop("_key").distinct()
+        askers = asked_keys.join(heavy, "_key", "left_semi").drop("_key").distinct()
+        pairs = asked_keys.join(light, "_key").select(*_PAIR).unionByName(_crowded_pairs(askers, crowd))
     distance = F.levenshtein(F.col("_asked"), F.col("_term"), REACH)
     return (
-        left.join(right, "_key")
-        .withColumn("_distance", distance)
+        pairs.withColumn("_distance", distance)
         .where(F.col("_distance") >= 0)
         .groupBy("_input")
         .agg(F.min(F.struct("_distance", "_position", "_option")).alias("_best"))
