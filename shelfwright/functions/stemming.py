@@ -11,6 +11,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Suffix pairs of the published Porter (1980) algorithm, steps 2, 3 and 4.
 STEP_2 = [
@@ -112,7 +113,7 @@ def fold(word: str) -> str:
     return "".join(ch for ch in parts if not unicodedata.combining(ch))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def search_form(words: pd.Series) -> pd.Series:
     """Folded and stemmed form of each term."""
     return words.map(lambda w: None if w is None else stem(fold(w)))

@@ -81,7 +81,7 @@ def odd_marker_lines(text: Column, marker: str = "`", fence: str = "```") -> Col
 
     def step(state: Column, line: Column) -> Column:
         number = state["line"] + 1
-        toggles = F.startswith(F.trim(F.regexp_replace(line, r"[\t\r]", " ")), F.lit(fence))
+        toggles = line.rlike(rf"\A\s*\Q{fence}\E")
         odd = ~toggles & ~state["fenced"] & (marker_count(line, marker) % 2 == 1)
         return F.struct(
             F.when(toggles, ~state["fenced"]).otherwise(state["fenced"]).alias("fenced"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright import fixed_values as fixed
 
+URL_FIELDS = ["url", "website", "source"]
+
 
 def is_http(value: Column) -> Column:
     return F.startswith(value, F.lit("http://")) | F.startswith(value, F.lit("https://"))
@@ -45,3 +47,23 @@ def video_url_error(value: Column) -> Column:
             F.lit("must match 'https://www.youtube.com/watch?v={videoId}'"),
         )
     )
+
+
+def extract_urls(docs: DataFrame, keys: list[str], doc: str, depth: int) -> DataFrame:
+    """``(keys, url)`` of every http(s) string under a URL field of a VARIANT, each once per document.
+
+    ``depth`` is the number of levels the model has; a level of a list counts like one of a map.
+    """
+    level = docs.select(*keys, F.col(doc).alias("_node"))
+    found = None
+    for _ in range(depth):
+        opened = level.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("_node").outer()))
+        children = opened.select(*keys, F.col("key").alias("_key"), F.col("value").alias("_node"))
+        text = F.try_variant_get("_node", "$", "string")
+        is_text = F.schema_of_variant("_node") == "STRING"
+        urls = children.where(F.col("_key").isin(URL_FIELDS) & is_text & is_http(text)).select(
+            *keys, text.alias("url")
+        )
+        found = urls if found is None else found.unionByName(urls)
+        level = children.where(F.schema_of_variant("_node").rlike("^(OBJECT|ARRAY)")).select(*keys, "_node")
+    return found.distinct()
