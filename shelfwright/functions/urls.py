@@ -14,23 +14,26 @@ def is_http(value: Column) -> Column:
 
 
 def is_url(value: Column) -> Column:
-    """Absolute URL: a scheme, and a host where the scheme wants one."""
-    return F.coalesce(
-        value.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:\S+\z")
-        & F.try_parse_url(value, F.lit("PROTOCOL")).isNotNull()
-        & (~is_http(F.lower(value)) | F.try_parse_url(value, F.lit("HOST")).isNotNull()),
-        F.lit(False),
+    """Absolute URL: a scheme, and for the web schemes a host of permitted characters."""
+    web = value.rlike(r"(?i)\A(https?|wss?|ftp):")
+    hosted = value.rlike(
+        r"(?is)\A(https?|wss?|ftp):[/\\]*([^/?#\\@]*@)?"
+        r"(\[[0-9a-f:.]+\]|[^\s/?#\\@:<>^|\[\]]+)(:[0-9]*)?([/?#\\].*)?\z"
     )
+    return F.coalesce(F.when(web, hosted).otherwise(value.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:")), F.lit(False))
+
+
+_AUTHORITY = r"\A[A-Za-z][A-Za-z0-9+.-]*:[/\\]*(?:[^/?#\\@]*@)?([^/?#\\@:]*)(?::[0-9]*)?([^?#]*)"
 
 
 def host_of(value: Column) -> Column:
-    return F.lower(F.try_parse_url(value, F.lit("HOST")))
+    return F.lower(F.regexp_extract(value, _AUTHORITY, 1))
 
 
 def video_url_error(value: Column) -> Column:
     """Why a video URL is not in the one accepted shape; NULL for good and for other URLs."""
     host = host_of(value)
-    path = F.try_parse_url(value, F.lit("PATH"))
+    path = F.regexp_extract(value, _AUTHORITY, 2)
     return (
         F.when(~host.isin(fixed.VIDEO_HOSTS), F.lit(None).cast("string"))
         .when(

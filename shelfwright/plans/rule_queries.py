@@ -339,7 +339,7 @@ LINKS_SQL = """
                   WHEN url LIKE '%/es/%' THEN 'https://youtu.be/' || page_id
                   WHEN url LIKE '%utm_source%' THEN 'https://www.youtube.com/watch?v=' || page_id || '&t=1'
                   WHEN url LIKE '%.html' THEN 'https://www.youtube.com/watch?v=' || page_id
-                  WHEN url LIKE '%page=2%' THEN replace(url, '://', ':/')
+                  WHEN url LIKE '%page=2%' THEN regexp_replace(url, '^https?://', '')
                   ELSE url END AS url
       FROM pages)
 """
@@ -363,7 +363,7 @@ def links(t):
             F.concat(F.lit("https://www.youtube.com/watch?v="), key, F.lit("&t=1")),
         )
         .when(F.endswith(url, F.lit(".html")), F.concat(F.lit("https://www.youtube.com/watch?v="), key))
-        .when(F.contains(url, F.lit("page=2")), F.replace(url, F.lit("://"), F.lit(":/")))
+        .when(F.contains(url, F.lit("page=2")), F.regexp_replace(url, r"\Ahttps?://", ""))
         .otherwise(url)
     )
     return t.pages.select("page_id", urls.host_of(url).alias("file"), made.alias("url"))

@@ -27,14 +27,13 @@ def build_session(app: str = "shelfwright", master: str | None = None, **conf: s
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+    """Write ``df`` to the shared checkpoint folder and go on from there.
 
     The folder is the one the session names in ``spark.checkpoint.dir``. Only a local session that
     names none gets a temporary one; a cluster without the setting is an error, because a folder on
     one machine does not survive the loss of that machine.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
