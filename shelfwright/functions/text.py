@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from shelfwright import fixed_values as fixed
 
 LINE_BREAK = "\n"
+OUTSIDE_TOKENS = r"[^\p{L}\p{N}\p{M}]"
 
 
 def slug_of(name: Column) -> Column:
@@ -32,7 +33,15 @@ def is_blank(value: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters, digits and combining marks."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}\p{M}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), OUTSIDE_TOKENS + "+"), "")
+
+
+def has_token(text: Column, token: str, prefix: bool = False) -> Column:
+    """The text has this token, or one that starts with it. Same tokens as :func:`tokens`, found
+    without splitting the text; the substring test drops most texts before the pattern runs."""
+    folded = F.lower(text)
+    end = "" if prefix else rf"(?:\z|{OUTSIDE_TOKENS})"
+    return F.contains(folded, F.lit(token)) & folded.rlike(rf"(?:\A|{OUTSIDE_TOKENS})\Q{token}\E{end}")
 
 
 def lines(text: Column) -> Column:

@@ -32,30 +32,31 @@ def follow(edges: DataFrame) -> DataFrame:
     ``last`` is the final node of the chain and ``depth`` the number of steps to it. A node that
     leads into a cycle has ``loops`` set, and then ``last`` is some node *on* that cycle; over all
     looping nodes these are exactly the nodes on cycles.
+
+    Open walks stand on a set of nodes that can only shrink from round to round. Once it is empty all
+    chains have ended; once it keeps its size, doubling maps it onto itself, so what is left of it
+    lies on cycles. Either way the number of rounds is the logarithm of the longest tail.
     """
     # an edge to a node without a successor ends there: it is finished from the start
     starts = edges.select(F.col("node").alias("_start"))
-    walk = (
-        edges.join(starts, F.col("next") == F.col("_start"), "left")
-        .select(
-            "node",
-            F.col("next").alias("last"),
-            F.lit(1).cast("bigint").alias("depth"),
-            F.col("_start").isNotNull().alias("loops"),
-        )
+    walk = edges.join(starts, F.col("next") == F.col("_start"), "left").select(
+        "node",
+        F.col("next").alias("last"),
+        F.lit(1).cast("bigint").alias("depth"),
+        F.col("_start").isNotNull().alias("loops"),
     )
-    walk = durable(walk)
-    rounds = math.ceil(math.log2(walk.count() + 1))
-    for _ in range(rounds):
-        if walk.where("loops").isEmpty():
-            break
+    standing = -1
+    while True:
+        walk = durable(walk, eager=False)
+        before, standing = standing, walk.where("loops").agg(F.count_distinct("last")).first()[0]
+        if standing in (0, before):
+            return walk.withColumn("depth", F.when(~F.col("loops"), F.col("depth")))
         ahead = walk.select(
             F.col("node").alias("_node"),
             F.col("last").alias("_last"),
             F.col("depth").alias("_depth"),
             F.col("loops").alias("_loops"),
         )
-        done = walk.where(~F.col("loops"))
         # only open walks are joined; the right side has one row per node, so a popular node makes
         # the left side uneven at most, which adaptive execution splits
         moved = (
@@ -68,8 +69,7 @@ def follow(edges: DataFrame) -> DataFrame:
                 F.col("_loops").alias("loops"),
             )
         )
-        walk = durable(done.unionByName(moved))
-    return walk.withColumn("depth", F.when(~F.col("loops"), F.col("depth")))
+        walk = walk.where(~F.col("loops")).unionByName(moved)
 
 
 def cycles(edges: DataFrame) -> tuple[DataFrame, DataFrame]:

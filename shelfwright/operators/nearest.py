@@ -21,16 +21,26 @@ PIECES = REACH + 1
 CROWDED = 1000  # options per piece from which the deletion variants take over
 
 
-def _piece_key(text: str, shift: str) -> str:
+def _start() -> Column:
+    return F.expr(f"cast((i * m) div {PIECES} as int)")
+
+
+def _size() -> Column:
+    return F.expr(f"cast(((i + 1) * m) div {PIECES} - (i * m) div {PIECES} as int)")
+
+
+def _piece_key(text: str, shift: Column) -> Column:
     """Hash of piece ``i`` of an option of ``m`` characters, read from ``text`` at ``shift``."""
-    start, end = f"((i * m) div {PIECES})", f"(((i + 1) * m) div {PIECES})"
-    piece = f"substr({text}, cast({start} + {shift} + 1 as int), cast({end} - {start} as int))"
-    return f"xxhash64(m, i, {piece})"
+    return F.xxhash64("m", "i", F.substr(F.col(text), _start() + shift + 1, _size()))
 
 
 def _option_keys(terms: DataFrame) -> DataFrame:
-    keys = f"transform(sequence(0, {REACH}), i -> {_piece_key('_term', '0')})"
-    return terms.withColumn("m", F.length("_term")).withColumn("_key", F.explode(F.expr(keys))).drop("m")
+    numbered = terms.withColumn("m", F.length("_term")).withColumn("i", _each_piece())
+    return numbered.withColumn("_key", _piece_key("_term", F.lit(0))).drop("m", "i")
+
+
+def _each_piece() -> Column:
+    return F.explode(F.array(*[F.lit(i) for i in range(PIECES)]))
 
 
 def _asked_keys(asked: DataFrame, terms: DataFrame) -> DataFrame:
@@ -41,18 +51,17 @@ def _asked_keys(asked: DataFrame, terms: DataFrame) -> DataFrame:
     Lengths that no option has are dropped first, so long junk is never taken apart.
     """
     lengths = terms.select(F.length("_term").alias("m")).distinct()
-    near = asked.withColumn("n", F.length("_asked"))
-    near = near.withColumn(
-        "m", F.explode(F.sequence(F.greatest(F.col("n") - REACH, F.lit(0)), F.col("n") + REACH))
-    ).join(lengths, "m", "left_semi")
-    low = f"greatest(-i, n - m - ({REACH} - i), -((i * m) div {PIECES}))"
-    high = f"least(i, n - m + ({REACH} - i))"
-    shifts = f"if({low} <= {high}, sequence(cast({low} as int), cast({high} as int)), array())"
-    keys = (
-        f"flatten(transform(sequence(0, {REACH}), i -> "
-        f"transform({shifts}, d -> {_piece_key('_asked', 'd')})))"
+    n, m, i = F.length("_asked"), F.col("m"), F.col("i")
+    in_reach = F.sequence(F.greatest(n - REACH, F.lit(0)), n + REACH)
+    near = asked.withColumn("m", F.explode(in_reach)).join(lengths, "m", "left_semi")
+    low = F.greatest(-i, n - m - (REACH - i), -_start())
+    high = F.least(i, n - m + (REACH - i))
+    shifted = (
+        near.withColumn("i", _each_piece())
+        .where(low <= high)
+        .withColumn("d", F.explode(F.sequence(low, high)))
     )
-    return near.withColumn("_key", F.explode(F.array_distinct(F.expr(keys)))).drop("m", "n")
+    return shifted.withColumn("_key", _piece_key("_asked", F.col("d"))).drop("m", "i", "d")
 
 
 def _deletion_variants(text: str) -> Column:

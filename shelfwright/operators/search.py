@@ -6,28 +6,23 @@ building the index needs no shuffle. Relevance is never asked for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright.functions.stemming import search_form
-from shelfwright.functions.text import tokens
+from shelfwright.functions.text import has_token, tokens
 
 BUCKETS = 256
 
 
 def has_all_terms(text: Column, terms: list[str]) -> Column:
     """Every term occurs somewhere in the text: a scan, without an index and without a shuffle."""
-    words = tokens(text)
-    found = F.lit(True)
-    for term in terms:
-        # the substring test is cheap and drops most texts before they are split
-        found = found & F.contains(F.lower(text), F.lit(term)) & F.array_contains(words, term)
-    return found
+    return reduce(lambda found, term: found & has_token(text, term), terms, F.lit(True))
 
 
 def has_prefix(text: Column, prefix: str) -> Column:
-    return F.contains(F.lower(text), F.lit(prefix)) & F.exists(
-        tokens(text), lambda t: F.startswith(t, F.lit(prefix))
-    )
+    return has_token(text, prefix, prefix=True)
 
 
 def plain_postings(docs: DataFrame, doc: str, fields: list[str]) -> DataFrame:

@@ -15,8 +15,7 @@ def search_term(t):
 
 @query(f"SELECT doc_id FROM documents WHERE list_has_all({_TOKENS}, ['that', 'with'])")
 def search_and(t):
-    postings = search.plain_postings(t.documents, "doc_id", ["text"])
-    return search.matching_docs(postings, ["that", "with"]).select(F.col("doc").alias("doc_id"))
+    return t.documents.where(search.has_all_terms(F.col("text"), ["that", "with"])).select("doc_id")
 
 
 @query(f"SELECT doc_id FROM documents WHERE len(list_filter({_TOKENS}, lambda t: starts_with(t, 'the'))) > 0")

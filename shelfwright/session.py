@@ -26,12 +26,13 @@ def build_session(app: str = "shelfwright", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, eager: bool = True) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there.
 
     The folder is the one the session names in ``spark.checkpoint.dir``. Only a local session that
     names none gets a temporary one; a cluster without the setting is an error, because a folder on
-    one machine does not survive the loss of that machine.
+    one machine does not survive the loss of that machine. With ``eager`` off it is the caller's next
+    action that writes it.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -41,4 +42,4 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager)
