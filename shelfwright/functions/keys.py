@@ -21,4 +21,4 @@ def child_key(parent: Column, *positions: Column) -> Column:
 
 def content_hash(*columns: Column) -> Column:
     """Fingerprint of a row, whatever the types of its columns."""
-    return F.sha2(F.to_json(F.struct(*columns)), 256)
+    return F.sha2(F.to_json(F.struct(*columns)), 256) if columns else F.lit("")
