@@ -17,7 +17,7 @@ try:
 except ImportError:  # documents written in the JSON subset can still be read
     yaml = None
 
-RAW = "collection string, slug string, path string, content string"
+RAW = "collection string, slug string, path string, content binary"
 _PARSED = "collection string, slug string, path string, json string, error string"
 
 
@@ -55,8 +55,10 @@ def _loader():
     return Loader
 
 
-def _to_json(content: str, loader) -> tuple[str | None, str | None]:
+def _to_json(content: str | bytes, loader) -> tuple[str | None, str | None]:
     try:
+        if not isinstance(content, str):
+            content = bytes(content).decode("utf-8", errors="replace")
         value = json.loads(content) if loader is None else yaml.load(content, Loader=loader)
         return json.dumps(value, ensure_ascii=False, allow_nan=False), None
     except Exception as problem:  # whatever is wrong with a document becomes a finding
@@ -95,7 +97,7 @@ def read_raw(spark: SparkSession, root: str, collections: list[str] = fixed.COLL
             F.lit(collection).alias("collection"),
             slug_of_path(F.col("path")).alias("slug"),
             F.regexp_extract("path", r"([^/]+/[^/]+)\z", 1).alias("path"),
-            F.decode("content", F.lit("UTF-8")).alias("content"),
+            "content",
         )
 
     return reduce(DataFrame.unionByName, [one(c) for c in collections])
