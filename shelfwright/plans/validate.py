@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright import fixed_values as fixed, schemas
@@ -28,121 +30,133 @@ def parse_findings(docs: DataFrame) -> DataFrame:
     return fd.finding(bad, tier=fd.PARSE, code="E110", path="(yaml)", message=F.col("error"))
 
 
-def _entry(code: str, path: Column, message: str | Column) -> Column:
+def _entry(code: str, message: str | Column) -> Column:
     shown = F.lit(message) if isinstance(message, str) else message
-    return F.struct(F.lit(code).alias("code"), path.alias("path"), shown.alias("message"))
-
-
-def _type_test(kind: Column, wanted: str) -> Column:
-    if wanted == "number":
-        return kind.rlike(r"\A(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    if wanted in ("flag", "year"):
-        return kind == "BOOLEAN"
-    if wanted == "texts":
-        return kind.rlike(r"\AARRAY<(STRING|VOID)>\z")
-    if wanted == "map":
-        return F.startswith(kind, F.lit("OBJECT"))
-    if wanted == "markdown":
-        return kind.rlike(r"\A(STRING\z|ARRAY<(STRING|VOID)>\z)")
-    if wanted == "objects":
-        return F.startswith(kind, F.lit("ARRAY"))
-    return kind == "STRING"
-
-
-def _markdown_entries(path: Column, body: Column) -> list[Column]:
-    lines = text.odd_marker_lines(body)
-    return [
-        F.array(F.when(~text.fences_balanced(body), _entry("E302", path, "unclosed code block"))),
-        F.transform(
-            lines,
-            lambda n: _entry("E303", path, F.concat(F.lit("unclosed inline code on line "), n.cast("string"))),
+    return F.struct(F.lit(code).alias("code"), shown.alias("message"))
+
+
+# kinds of VARIANT each rule accepts
+ACCEPTED = {
+    "text": r"STRING", "filled": r"STRING", "url": r"STRING", "video": r"STRING", "date": r"STRING",
+    "number": r"(BIGINT|DOUBLE|FLOAT|DECIMAL.*)", "flag": r"BOOLEAN", "year": r"BOOLEAN",
+    "texts": r"ARRAY<(STRING|VOID)>", "markdown": r"(STRING|ARRAY<(STRING|VOID)>)",
+    "map": r"OBJECT.*", "objects": r"ARRAY.*",
+}
+
+
+def _rule_rows(kind: str, rules: dict) -> list[tuple]:
+    """``(kind, key, wanted, accepted, required, child)`` of an object and of those nested in it."""
+    rows = []
+    for key, rule in rules.items():
+        nested = isinstance(rule, dict)
+        wanted = "objects" if nested else rule.rstrip("!")
+        child = f"{kind}.{key}" if nested else None
+        rows.append((kind, key, wanted, ACCEPTED[wanted], not nested and rule.endswith("!"), child))
+        if nested:
+            rows.extend(_rule_rows(child, rule))
+    return rows
+
+
+def _depth(rules: dict) -> int:
+    return 1 + max((_depth(r) for r in rules.values() if isinstance(r, dict)), default=0)
+
+
+def _field_entries() -> Column:
+    """Findings of one field: its type first, then what its rule asks of the value."""
+    value, kind, wanted = F.col("value"), F.col("value_kind"), F.col("wanted")
+    text_value = F.try_variant_get(value, "$", "string")
+    good = F.rlike(kind, F.concat(F.lit(r"\A"), F.col("accepted"), F.lit(r"\z")))
+    error = urls.video_url_error(text_value)
+    year_ok = dates.year_only_ok(F.try_variant_get(value, "$", "boolean"), F.col("date"))
+    body = src.text_at(value, "$")
+    wrong_type = F.concat(F.col("key"), F.lit(" has the wrong type: "), kind)
+    single = F.array(
+        F.when(~good, _entry("E101", wrong_type)),
+        F.when(good & wanted.isin("url", "video") & ~urls.is_url(text_value), _entry("E103", "invalid URL")),
+        F.when(good & (wanted == "video") & error.isNotNull(), _entry("E301", error)),
+        F.when(good & (wanted == "date") & ~dates.is_iso_date(text_value), _entry("E199", "invalid ISO date")),
+        F.when(
+            good & (wanted == "year") & ~year_ok,
+            _entry("E199", "releaseDateYearOnly requires releaseDate in YYYY format"),
+        ),
+        F.when(
+            good & (wanted == "markdown") & ~text.fences_balanced(body), _entry("E302", "unclosed code block")
         ),
-    ]
-
-
-def _field_entries(node: Column, prefix: Column, name: str, rule: str | dict) -> list[Column]:
-    """Arrays of findings of one field of an object."""
-    wanted = "objects" if isinstance(rule, dict) else rule.rstrip("!")
-    path = F.concat(prefix, F.lit(name))
-    kind = F.schema_of_variant(F.try_variant_get(node, f"$.{name}", "variant"))
-    value = F.try_variant_get(node, f"$.{name}", "string")
-    good = _type_test(kind, wanted)
-    entries = []
-    if isinstance(rule, str) and rule.endswith("!"):
-        empty = kind.isNull() | (kind == "VOID")
-        if wanted == "filled":
-            empty = empty | ((kind == "STRING") & (value == ""))
-        entries.append(F.array(F.when(empty, _entry("E100", path, f"{name} is required"))))
-        wrong = ~empty & ~good
-    else:
-        wrong = kind.isNotNull() & ~good
-    message = F.concat(F.lit(f"{name} has the wrong type: "), kind)
-    entries.append(F.array(F.when(wrong, _entry("E101", path, message))))
-    if wanted in ("url", "video"):
-        bad = good & ~urls.is_url(value)
-        entries.append(F.array(F.when(bad, _entry("E103", path, "invalid URL"))))
-    if wanted == "video":
-        error = urls.video_url_error(value)
-        entries.append(F.array(F.when(good & error.isNotNull(), _entry("E301", path, error))))
-    if wanted == "date":
-        bad = good & ~dates.is_iso_date(value)
-        entries.append(F.array(F.when(bad, _entry("E199", path, "invalid ISO date"))))
-    if wanted == "year":
-        flag = F.try_variant_get(node, f"$.{name}", "boolean")
-        date = F.try_variant_get(node, "$.releaseDate", "string")
-        bad = good & ~dates.year_only_ok(flag, date)
-        message = "releaseDateYearOnly requires releaseDate in YYYY format"
-        entries.append(F.array(F.when(bad, _entry("E199", path, message))))
-    if wanted == "markdown":
-        body = src.text_at(node, f"$.{name}")
-        for found in _markdown_entries(path, body):
-            entries.append(F.when(good & (body != ""), found))
-    return entries
-
-
-def _object_findings(nodes: DataFrame, rules: dict) -> list[DataFrame]:
-    """Findings of all objects in ``node`` and of the objects nested in them."""
-    node, prefix = F.col("node"), F.col("prefix")
-    entries = [e for name, rule in rules.items() for e in _field_entries(node, prefix, name, rule)]
-    none = F.array().cast("array<struct<code:string,path:string,message:string>>")
-    all_entries = F.flatten(F.array(*[F.coalesce(e, none) for e in entries]))
-    flat = nodes.select(
-        "collection", "slug", F.explode(F.filter(all_entries, lambda e: e.isNotNull())).alias("e")
     )
-    found = [
-        flat.select(
-            "collection", "slug", F.lit(fd.SHAPE).alias("tier"), "e.code", "e.path", "e.message",
-            F.lit(None).cast("string").alias("suggestion"),
-        )
-    ]
-    for name, rule in rules.items():
-        if isinstance(rule, dict):
-            items = F.try_variant_get(node, f"$.{name}", "array<variant>")
-            children = nodes.select("collection", "slug", "prefix", F.posexplode(items).alias("pos", "node"))
-            path = F.concat("prefix", F.lit(f"{name}."), F.col("pos").cast("string"), F.lit("."))
-            children = children.withColumn("prefix", path)
-            is_object = F.startswith(F.schema_of_variant("node"), F.lit("OBJECT"))
-            stray = children.where(~is_object)
-            found.append(
-                fd.finding(
-                    stray, tier=fd.SHAPE, code="E101", message="expected an object",
-                    path=F.regexp_replace("prefix", r"\.\z", ""),
-                )
-            )
-            found.extend(_object_findings(children.where(is_object), rule))
-    return found
+    on_line = lambda n: _entry("E303", F.concat(F.lit("unclosed inline code on line "), n.cast("string")))
+    by_line = F.when(
+        good & (wanted == "markdown"), F.transform(text.odd_marker_lines(body), on_line)
+    ).otherwise(F.array().cast("array<struct<code:string,message:string>>"))
+    return F.filter(F.concat(single, by_line), lambda e: e.isNotNull())
 
 
 def shape_findings(docs: DataFrame) -> DataFrame:
-    """Required fields, types, URLs, dates and markdown, down to the deepest list."""
-    rootless = docs.where(F.col("error").isNull() & ~F.startswith(F.schema_of_variant("doc"), F.lit("OBJECT")))
-    found = [fd.finding(rootless, tier=fd.SHAPE, code="E101", path="(root)", message="expected an object")]
-    for collection, rules in schemas.RULES.items():
-        nodes = src.readable(docs).where(F.col("collection") == collection)
-        found.extend(
-            _object_findings(nodes.select("collection", "slug", F.col("doc").alias("node"), F.lit("").alias("prefix")), rules)
+    """Required fields, types, URLs, dates and markdown, down to the deepest list.
+
+    Objects are opened level by level: each level joins its fields to the table of rules, and the
+    lists of objects it holds are the next level.
+    """
+    spark = docs.sparkSession
+    rows = [row for collection, rules in schemas.RULES.items() for row in _rule_rows(collection, rules)]
+    rules = spark.createDataFrame(
+        rows, "kind string, key string, wanted string, accepted string, required boolean, child string"
+    )
+    needed = rules.where("required").select("kind", "key", "wanted")
+    shape = lambda df: fd.finding(df, tier=fd.SHAPE, code="E101", path=F.col("path"), message="expected an object")
+    not_object = docs.where(
+        F.col("error").isNull() & ~F.startswith(F.schema_of_variant("doc"), F.lit("OBJECT"))
+    )
+    found = [shape(not_object.withColumn("path", F.lit("(root)")))]
+    as_fields = lambda node: F.try_variant_get(node, "$", "map<string,variant>").alias("fields")
+    nodes = src.readable(docs).select(
+        "collection", "slug", F.col("collection").alias("kind"), F.lit("").alias("prefix"), as_fields("doc")
+    )
+    levels = [nodes]
+    for _ in range(max(_depth(r) for r in schemas.RULES.values()) - 1):
+        items = (
+            nodes.select("collection", "slug", "kind", "prefix", F.explode("fields").alias("key", "value"))
+            .join(rules.where(F.col("child").isNotNull()), ["kind", "key"])
+            .select(
+                "collection", "slug", F.col("child").alias("kind"), "prefix", "key",
+                F.posexplode(F.try_variant_get("value", "$", "array<variant>")).alias("pos", "node"),
+            )
+            .withColumn("path", F.concat("prefix", "key", F.lit("."), F.col("pos").cast("string")))
         )
-    return fd.all_findings(*found)
+        is_object = F.coalesce(F.startswith(F.schema_of_variant("node"), F.lit("OBJECT")), F.lit(False))
+        found.append(shape(items.where(~is_object)))
+        nodes = items.where(is_object).select(
+            "collection", "slug", "kind", F.concat("path", F.lit(".")).alias("prefix"), as_fields("node")
+        )
+        levels.append(nodes)
+
+    objects = reduce(DataFrame.unionByName, levels)
+    given = F.try_element_at("fields", F.col("key"))
+    held = F.schema_of_variant(given)
+    empty = (F.col("wanted") == "filled") & (held == "STRING") & (F.try_variant_get(given, "$", "string") == "")
+    missing = objects.join(needed, "kind").where(held.isNull() | (held == "VOID") | empty)
+    date = F.try_variant_get(F.try_element_at("fields", F.lit("releaseDate")), "$", "string")
+    present = (
+        objects.select(
+            "collection", "slug", "kind", "prefix", date.alias("date"), F.explode("fields").alias("key", "value")
+        )
+        .join(rules, ["kind", "key"])
+        .withColumn("value_kind", F.coalesce(F.schema_of_variant("value"), F.lit("VOID")))
+        .where(~F.col("required") | (F.col("value_kind") != "VOID"))
+    )
+    flat = present.select(
+        "collection", "slug", F.concat("prefix", "key").alias("path"), F.explode(_field_entries()).alias("e")
+    )
+    return fd.all_findings(
+        *found,
+        fd.finding(
+            missing, tier=fd.SHAPE, code="E100", path=F.concat("prefix", "key"),
+            message=F.concat("key", F.lit(" is required")),
+        ),
+        flat.select(
+            "collection", "slug", F.lit(fd.SHAPE).alias("tier"), "e.code", "path", "e.message",
+            F.lit(None).cast("string").alias("suggestion"),
+        ),
+    )
 
 
 def _products(docs: DataFrame, *fields: str) -> DataFrame:

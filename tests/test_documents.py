@@ -23,12 +23,12 @@ def vocabulary():
 
 @pytest.fixture(scope="module")
 def clean(spark, tmp_path_factory):
-    return src.read_documents(spark, write(CLEAN, tmp_path_factory.mktemp("clean"))).cache()
+    return src.read_documents(spark, write(CLEAN, tmp_path_factory.mktemp("clean"))).coalesce(2).cache()
 
 
 @pytest.fixture(scope="module")
 def broken(spark, tmp_path_factory):
-    return src.read_documents(spark, write(BROKEN, tmp_path_factory.mktemp("broken"))).cache()
+    return src.read_documents(spark, write(BROKEN, tmp_path_factory.mktemp("broken"))).coalesce(2).cache()
 
 
 @pytest.fixture(scope="module")
@@ -276,7 +276,7 @@ def test_change_set_equals_rebuild(spark, published, vocabulary, tmp_path):
     after["software/new.yaml"] = "id: s-new\nname: New\nmanufacturer: cirrus\nplatforms: [linux]\n"
     after["software/renamed.yaml"] = after.pop("software/glow-classic.yaml").replace("Glow Classic", "Classic")
     after["software/glow.yaml"] = after["software/glow.yaml"].replace("platforms: [mac, windows]", "platforms: [linux]")
-    docs = src.read_documents(spark, write(after, tmp_path / "after")).cache()
+    docs = src.read_documents(spark, write(after, tmp_path / "after")).coalesce(2).cache()
     current = pub.publish(docs, vocabulary, "8", as_of())
     changes = pub.diff_tables(published, current)
     assert rows(changes["software"], "id", "op") == [
