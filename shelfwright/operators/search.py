@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwright.functions.stemming import search_form
+from shelfwright.functions.stemming import fold, search_form, stem
 from shelfwright.functions.text import has_token, tokens
 
 BUCKETS = 256
@@ -58,6 +58,11 @@ def stemmed_postings(docs: DataFrame, doc: str, fields: list[str]) -> DataFrame:
     )
 
 
+def query_terms(text: str) -> list[str]:
+    """The terms of a query, in the form a stemmed index holds them."""
+    return [stem(fold(word)) for word in text.split()]
+
+
 def write_index(postings: DataFrame, path: str) -> None:
     """Store postings by term bucket. A bucket is spread by document too, so that the postings of
     a word found everywhere do not end up in one task."""
