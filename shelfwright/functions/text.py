@@ -54,22 +54,24 @@ def repeats(values: Column) -> Column:
     Sorting (value, position) pairs puts equal values side by side, so one pass over neighbours
     finds the repeats in n log n inside the row, with no shuffle of the exploded values.
     """
-    pairs = F.array_sort(
+    pairs = F.sort_array(
         F.transform(values, lambda v, i: F.struct(v.alias("value"), i.alias("pos")))
     )
-    shifted = F.concat(
-        F.array(F.lit(None).cast("struct<value:string,pos:int>")),
-        F.slice(pairs, 1, F.greatest(F.size(pairs) - 1, F.lit(0))),
-    )
-    marked = F.zip_with(
-        pairs, shifted, lambda a, b: F.when(b.isNotNull() & a["value"].eqNullSafe(b["value"]), a)
-    )
-    return F.when(F.size(values) > 1, F.filter(marked, lambda m: m.isNotNull()))
+    no_pair = F.array(F.lit(None).cast("struct<value:string,pos:int>"))
+
+    def later(p: Column) -> Column:
+        shifted = F.concat(no_pair, F.slice(p, 1, F.size(p) - 1))
+        same = lambda a, b: F.when(b.isNotNull() & a["value"].eqNullSafe(b["value"]), a)
+        return F.filter(F.zip_with(p, shifted, same), lambda m: m.isNotNull())
+
+    # the one-element list binds the sorted pairs, which are used three times, to one evaluation
+    return F.when(F.size(values) > 1, F.transform(F.array(pairs), later)[0])
 
 
 def marker_count(text: Column, marker: str) -> Column:
     """Occurrences of a literal marker that do not overlap."""
-    return F.regexp_count(text, F.lit(rf"\Q{marker}\E"))
+    without = F.length(F.replace(text, F.lit(marker), F.lit("")))
+    return F.floor((F.length(text) - without) / len(marker)).cast("int")
 
 
 def fences_balanced(text: Column, fence: str = "```") -> Column:
@@ -101,17 +103,12 @@ def odd_marker_lines(text: Column, marker: str = "`", fence: str = "```") -> Col
     return F.aggregate(lines(text), start, step, lambda state: state["odd"])
 
 
-def option_list(options: Column, limit: int = fixed.OPTION_LIST_LIMIT) -> Column:
-    """``a, b, c`` in order, or the first ``limit`` followed by the total."""
-    ordered = F.array_sort(options)
-    return F.when(F.size(options) <= limit, F.array_join(ordered, ", ")).otherwise(
-        F.concat(
-            F.array_join(F.slice(ordered, 1, limit), ", "),
-            F.lit(", ... ("),
-            F.size(options).cast("string"),
-            F.lit(" total)"),
-        )
-    )
+def option_list(first: Column, total: Column | int, limit: int = fixed.OPTION_LIST_LIMIT) -> Column:
+    """``a, b, c`` of the first ``limit`` options in order; the total is added when there are more."""
+    count = F.lit(total) if isinstance(total, int) else total
+    shown = F.array_join(F.slice(F.array_sort(first), 1, limit), ", ")
+    more = F.concat(F.lit(", ... ("), count.cast("string"), F.lit(" total)"))
+    return F.when(count <= limit, shown).otherwise(F.concat(shown, more))
 
 
 def path_parts(path: Column) -> Column:

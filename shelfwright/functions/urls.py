@@ -57,16 +57,18 @@ def extract_urls(docs: DataFrame, keys: list[str], doc: str, depth: int) -> Data
 
     ``depth`` is the number of levels the model has; a level of a list counts like one of a map.
     """
-    level = docs.select(*keys, F.col(doc).alias("_node"))
-    found = None
+    explode = docs.sparkSession.tvf.variant_explode_outer
+    rows = docs.select(*keys, F.lit(None).cast("string").alias("_key"), F.col(doc).alias("_node"))
     for _ in range(depth):
-        opened = level.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("_node").outer()))
-        children = opened.select(*keys, F.col("key").alias("_key"), F.col("value").alias("_node"))
-        text = F.try_variant_get("_node", "$", "string")
-        is_text = F.schema_of_variant("_node") == "STRING"
-        urls = children.where(F.col("_key").isin(URL_FIELDS) & is_text & is_http(text)).select(
-            *keys, text.alias("url")
+        # one level of every map and list is opened; what is neither stays as it is
+        nested = F.schema_of_variant("_node").rlike("^(OBJECT|ARRAY)")
+        opened = rows.lateralJoin(explode(F.when(nested, F.col("_node")).outer()))
+        rows = opened.select(
+            *keys,
+            F.when(nested, F.col("key")).otherwise(F.col("_key")).alias("_key"),
+            F.when(nested, F.col("value")).otherwise(F.col("_node")).alias("_node"),
         )
-        found = urls if found is None else found.unionByName(urls)
-        level = children.where(F.schema_of_variant("_node").rlike("^(OBJECT|ARRAY)")).select(*keys, "_node")
-    return found.distinct()
+    is_text = F.schema_of_variant("_node") == "STRING"
+    text = F.try_variant_get("_node", "$", "string")
+    urls = rows.where(F.col("_key").isin(URL_FIELDS) & is_text & is_http(text))
+    return urls.select(*keys, text.alias("url")).distinct()

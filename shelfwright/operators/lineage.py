@@ -6,8 +6,6 @@ nodes takes log2(n) joins. Every round is cut with a checkpoint.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwright.session import durable
@@ -85,7 +83,7 @@ def cycles(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     on_cycle = durable(looping.select(F.col("last").alias("node")).distinct())
     inner = edges.join(on_cycle, "node", "left_semi")
 
-    members = durable(_positions(inner, _cycle_names(inner)))
+    members = durable(_places(inner))
     # cut the cycles open: now every tail is a chain that ends on its entry node
     tails = edges.join(looping.select("node"), "node", "left_semi").join(on_cycle, "node", "left_anti")
     entered = follow(tails).select("node", F.col("last").alias("entry"), F.col("depth").alias("steps"))
@@ -96,41 +94,34 @@ def cycles(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return at_once.unionByName(entered).join(names, "entry"), members
 
 
-def _cycle_names(inner: DataFrame) -> DataFrame:
-    """``(node, cycle)``: the smallest node of the cycle each node is on."""
+def _places(inner: DataFrame) -> DataFrame:
+    """``(cycle, position, node, length)`` of the nodes on cycles.
+
+    Each node knows the smallest node among the ``span`` nodes that start with it, and how far ahead
+    that is. Doubling the span past the number of nodes gives the name of the cycle and the distance
+    to it, hence the position.
+    """
     state = durable(
-        inner.select("node", F.col("next").alias("jump"), F.col("node").alias("cycle"))
+        inner.select(
+            "node", F.col("next").alias("jump"), F.col("node").alias("cycle"), F.lit(0).cast("bigint").alias("ahead")
+        )
     )
-    for _ in range(math.ceil(math.log2(state.count() + 1))):
-        ahead = state.select(
-            F.col("node").alias("_node"),
-            F.col("jump").alias("_jump"),
-            F.col("cycle").alias("_cycle"),
+    span, total = 1, state.count()
+    while span < total:
+        further = state.select(
+            F.col("node").alias("_node"), F.col("jump").alias("_jump"), F.col("cycle").alias("_cycle"),
+            F.col("ahead").alias("_ahead"),
         )
+        smaller = F.col("_cycle") < F.col("cycle")
         state = durable(
-            state.join(ahead, F.col("jump") == F.col("_node")).select(
-                "node", F.col("_jump").alias("jump"), F.least("cycle", "_cycle").alias("cycle")
+            state.join(further, F.col("jump") == F.col("_node")).select(
+                "node",
+                F.col("_jump").alias("jump"),
+                F.when(smaller, F.col("_cycle")).otherwise(F.col("cycle")).alias("cycle"),
+                F.when(smaller, F.col("_ahead") + span).otherwise(F.col("ahead")).alias("ahead"),
             )
         )
-    return state.select("node", "cycle")
-
-
-def _positions(inner: DataFrame, names: DataFrame) -> DataFrame:
-    """Position in the cycle, from the distance to its name once the edge into the name is cut."""
-    named = inner.join(names, "node")
-    to_name = follow(named.where(F.col("node") != F.col("cycle")).select("node", "next"))
-    sizes = names.groupBy("cycle").agg(F.count("*").alias("length"))
-    steps = to_name.select("node", F.col("depth").alias("_left"))
-    return (
-        names.join(sizes, "cycle")
-        .join(steps, "node", "left")
-        .select(
-            "cycle",
-            F.when(F.col("node") == F.col("cycle"), F.lit(0))
-            .otherwise(F.col("length") - F.col("_left"))
-            .cast("bigint")
-            .alias("position"),
-            "node",
-            "length",
-        )
-    )
+        span *= 2
+    sizes = state.groupBy("cycle").agg(F.count("*").alias("length"))
+    position = (F.col("length") - F.col("ahead")) % F.col("length")
+    return state.join(sizes, "cycle").select("cycle", position.alias("position"), "node", "length")

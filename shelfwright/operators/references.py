@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from shelfwright import fixed_values as fixed
+from shelfwright.functions.text import option_list
 
 
 def dangling(df: DataFrame, reference: list[str], targets: DataFrame, key: list[str]) -> DataFrame:
@@ -60,3 +63,26 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys used more than once, with the number of uses."""
     given = df.where(F.col(keys[-1]).isNotNull())
     return given.groupBy(*keys).agg(F.count("*").alias("uses")).where(F.col("uses") > 1)
+
+
+def options_shown(options: DataFrame, option: str, limit: int = fixed.OPTION_LIST_LIMIT) -> Column:
+    """The option list of a whole vocabulary, as a value to put into messages. No more than
+    ``limit`` options are ever gathered."""
+    first = options.select(option).orderBy(option).limit(limit).agg(F.collect_list(option).alias("_first"))
+    total = options.agg(F.count("*")).scalar()
+    return first.select(option_list(F.col("_first"), total, limit)).scalar()
+
+
+def options_by_group(
+    pairs: DataFrame, group: str, option: str, limit: int = fixed.OPTION_LIST_LIMIT
+) -> DataFrame:
+    """``(group, shown)``: the option list of each group. The rank limit is applied before the
+    shuffle, so a group with very many options sends only its first ones."""
+    distinct = pairs.select(group, option).distinct()
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(option))
+    first = distinct.withColumn("_rank", rank).where(F.col("_rank") <= limit)
+    first = first.groupBy(group).agg(F.collect_list(option).alias("_first"))
+    totals = distinct.groupBy(group).agg(F.count("*").alias("_total"))
+    return first.join(totals, group).select(
+        group, option_list(F.col("_first"), F.col("_total"), limit).alias("shown")
+    )

@@ -66,19 +66,25 @@ def query_terms(text: str) -> list[str]:
 def write_index(postings: DataFrame, path: str) -> None:
     """Store postings by term bucket. A bucket is spread by document too, so that the postings of
     a word found everywhere do not end up in one task."""
-    bucket = F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).alias("bucket")
-    bucketed = postings.select("*", bucket.cast("int"))
+    bucketed = postings.withColumn("bucket", _bucket(F.col("term")))
     spread = bucketed.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(16)))
     spread.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy(
         "bucket"
     ).parquet(path)
 
 
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
 def matching_docs(postings: DataFrame, terms: list[str], prefix: bool = False) -> DataFrame:
     """Documents that hold all terms, in whatever fields."""
     if prefix:
         return postings.where(F.startswith("term", F.lit(terms[0]))).select("doc").distinct()
-    hits = postings.where(F.col("term").isin(terms)).select("term", "doc").distinct()
+    wanted = F.col("term").isin(terms)
+    if "bucket" in postings.columns:  # a stored index: read the folders of these terms only
+        wanted = wanted & F.col("bucket").isin([_bucket(F.lit(term)) for term in terms])
+    hits = postings.where(wanted).select("term", "doc").distinct()
     return (
         hits.groupBy("doc")
         .agg(F.count("*").alias("_terms"))

@@ -141,6 +141,17 @@ def change_order(t):
     return changed.withColumn("apply_rank", rank).orderBy("apply_rank", "id")
 
 
+@query("SELECT c_custkey, 'modified' AS op FROM customer WHERE c_mktsegment = 'BUILDING'")
+def rename_by_id(t):
+    """Keyed by id, an entity that only changed its name is a modification, not a new one."""
+    named = t.customer.select("c_custkey", F.col("c_name").alias("slug"), "c_acctbal")
+    building = F.col("c_mktsegment") == "BUILDING"
+    renamed = t.customer.select(
+        "c_custkey", F.when(building, F.upper("c_name")).otherwise(F.col("c_name")).alias("slug"), "c_acctbal"
+    )
+    return cdc.classify(named, renamed, ["c_custkey"])
+
+
 @query(_SNAPSHOTS + "SELECT o_orderkey, 'x' AS op FROM base WHERE false")
 def noop_diff(t):
     return cdc.classify(base(t), base(t), KEY)

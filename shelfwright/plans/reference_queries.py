@@ -159,10 +159,7 @@ def vocabulary_sets(t):
     """
 )
 def option_list(t):
-    # brands are a vocabulary; distinct pairs are counted down before any list is built
-    brands = t.part.select("p_type", "p_brand").distinct()
-    listed = brands.groupBy("p_type").agg(F.collect_list("p_brand").alias("options"))
-    return listed.select("p_type", text.option_list(F.col("options")).alias("shown"))
+    return refs.options_by_group(t.part, "p_type", "p_brand")
 
 
 @query(

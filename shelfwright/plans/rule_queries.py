@@ -154,7 +154,7 @@ def rule_types(t):
 )
 def rule_platform(t):
     allowed = t.events.where(F.col("event_type") > "d").select("event_type").distinct()
-    shown = allowed.agg(text.option_list(F.collect_list("event_type"))).scalar()
+    shown = refs.options_shown(allowed, "event_type")
     bad = refs.dangling(t.events, ["event_type"], allowed, ["event_type"])
     message = F.concat(F.lit("invalid platform '"), "event_type", F.lit("'; valid: "), shown)
     return fd.finding(

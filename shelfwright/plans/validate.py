@@ -190,7 +190,7 @@ def vocabulary_findings(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     formats = refs.dangling(exploded("formats"), ["term"], vocabulary.terms(spark, "formats"), ["term"])
     platforms = refs.dangling(exploded("platforms"), ["term"], vocabulary.terms(spark, "platforms"), ["term"])
-    shown = text.option_list(F.array(*[F.lit(p) for p in vocabulary.platforms]))
+    shown = _shown(vocabulary.platforms)
     message = F.concat(F.lit("invalid platform '"), "term", F.lit("'; valid: "), shown)
     return fd.all_findings(
         categories,
@@ -199,12 +199,15 @@ def vocabulary_findings(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
+def _shown(options) -> Column:
+    return text.option_list(F.array(*[F.lit(o) for o in options]), len(options))
+
+
 def _suggested(bad: DataFrame, options: DataFrame, code: str, noun: str, listed=()) -> DataFrame:
     best = nearest.nearest_option(bad, "term", options, "term", "pos")
     message = F.concat(F.lit(f"invalid {noun} '"), "term", F.lit("'"))
     if listed:
-        shown = text.option_list(F.array(*[F.lit(o) for o in listed]))
-        message = F.concat(message, F.lit("; valid: "), shown)
+        message = F.concat(message, F.lit("; valid: "), _shown(listed))
     return fd.finding(
         bad.join(best, "term", "left"), tier=fd.SHAPE, code=code, path=F.col("path"), message=message,
         suggestion=F.col("suggestion"),
