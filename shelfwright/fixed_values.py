@@ -35,10 +35,10 @@ IDENTIFIER_PATTERNS = {
     "lv2": r"\Ahttps?://.+\z",
 }
 IDENTIFIER_HINTS = {
-    "au": "Reverse domain notation (e.g., com.vendor.ProductName)",
+    "au": "Reverse domain notation (e.g., com.xferrecords.Serum)",
     "bundle": "Reverse domain notation (e.g., com.vendor.AppName)",
-    "vst3": "Reverse domain notation (e.g., com.vendor.ProductName)",
-    "clap": "Reverse domain notation (e.g., com.vendor.ProductName)",
+    "vst3": "Reverse domain notation (e.g., com.native-instruments.Massive)",
+    "clap": "Reverse domain notation (e.g., com.u-he.Diva)",
     "aax": "4-character PACE code (e.g., XfRc)",
     "lv2": "URI format (e.g., https://vendor.com/plugins/name)",
 }

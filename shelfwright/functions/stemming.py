@@ -30,6 +30,10 @@ STEP_4 = [
 ]
 
 
+_PLAIN = re.compile(r"[a-z]+")
+_VOWEL_RUN = re.compile(r"v+c+")
+
+
 def _shape(word: str) -> str:
     """The word as a string of c(onsonant) and v(owel)."""
     out: list[str] = []
@@ -40,7 +44,7 @@ def _shape(word: str) -> str:
 
 
 def _measure(stem: str) -> int:
-    return len(re.findall(r"v+c+", _shape(stem)))
+    return len(_VOWEL_RUN.findall(_shape(stem)))
 
 
 def _has_vowel(stem: str) -> bool:
@@ -55,8 +59,15 @@ def _ends_double(stem: str) -> bool:
     return len(stem) > 1 and stem[-1] == stem[-2] and _shape(stem)[-1] == "c"
 
 
+def _longest_first(suffixes: list) -> list:
+    return sorted(suffixes, key=lambda s: len(s if isinstance(s, str) else s[0]), reverse=True)
+
+
+_STEP_2, _STEP_3, _STEP_4 = map(_longest_first, (STEP_2, STEP_3, STEP_4))
+
+
 def _replace_longest(word: str, pairs: list[tuple[str, str]]) -> str:
-    for suffix, new in sorted(pairs, key=lambda p: -len(p[0])):
+    for suffix, new in pairs:
         if word.endswith(suffix):
             stem = word[: -len(suffix)]
             return stem + new if _measure(stem) > 0 else word
@@ -85,14 +96,14 @@ def _drop_inflection(word: str) -> str:
 
 def stem(word: str) -> str:
     """Porter stem of an already folded word; anything but a-z of 3 or more letters is left alone."""
-    if len(word) < 3 or not re.fullmatch(r"[a-z]+", word):
+    if len(word) < 3 or not _PLAIN.fullmatch(word):
         return word
     word = _drop_inflection(word)
     if word.endswith("y") and _has_vowel(word[:-1]):
         word = word[:-1] + "i"
-    word = _replace_longest(word, STEP_2)
-    word = _replace_longest(word, STEP_3)
-    for suffix in sorted(STEP_4, key=len, reverse=True):
+    word = _replace_longest(word, _STEP_2)
+    word = _replace_longest(word, _STEP_3)
+    for suffix in _STEP_4:
         if word.endswith(suffix):
             base = word[: -len(suffix)]
             if _measure(base) > 1 and (suffix != "ion" or base.endswith(("s", "t"))):
@@ -109,6 +120,8 @@ def stem(word: str) -> str:
 
 def fold(word: str) -> str:
     """Lower case without diacritics."""
+    if word.isascii():
+        return word.lower()
     parts = unicodedata.normalize("NFD", word.lower())
     return "".join(ch for ch in parts if not unicodedata.combining(ch))
 

@@ -70,7 +70,7 @@ def code_registry(spark) -> DataFrame:
     return spark.createDataFrame(fixed.FINDING_CODES, "code string, title string, anchor string")
 
 
-def with_titles(findings: DataFrame, docs_base: str = "docs/VALIDATION_ERRORS.md") -> DataFrame:
+def with_titles(findings: DataFrame, docs_base: str = "findings.md") -> DataFrame:
     """Findings with title and documentation link of their code."""
     titled = findings.join(code_registry(findings.sparkSession), "code", "left")
     return titled.withColumn("docs", F.concat(F.lit(docs_base + "#"), "anchor")).drop("anchor")

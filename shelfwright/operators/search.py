@@ -41,8 +41,15 @@ def plain_postings(docs: DataFrame, doc: str, fields: list[str]) -> DataFrame:
 
 
 def vocabulary(postings: DataFrame) -> DataFrame:
-    """Distinct terms with the form they are searched by."""
-    return postings.select("term").distinct().withColumn("form", search_form("term"))
+    """Distinct terms with the form they are searched by.
+
+    The terms are few bytes but much work, so they are spread over all cores; left to itself,
+    adaptive execution would put a small vocabulary into one task.
+    """
+    spark = postings.sparkSession
+    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    terms = postings.select("term").distinct().repartition(width, "term")
+    return terms.withColumn("form", search_form("term"))
 
 
 def stemmed_postings(docs: DataFrame, doc: str, fields: list[str]) -> DataFrame:

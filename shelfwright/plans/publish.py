@@ -146,12 +146,13 @@ def _hardware_parts(products: DataFrame, approved: DataFrame) -> dict[str, DataF
     for kind, fields in (("io", _PORT), ("versions", _VERSION), ("prices", _PRICE), ("links", _LINK)):
         parts[f"hardware_revision_{kind}"] = _children(revisions, "revision_id", kind, fields)
     known = ports.select("hardware_id", F.col("name").alias("original_name")).distinct()
-    named = port_translations(approved).select(
-        F.col("id").alias("hardware_id"), "locale", "original_name", "translated_name", "translated_description"
-    )
+    named = port_translations(approved).withColumnRenamed("id", "hardware_id")
+    named = named.join(known, ["hardware_id", "original_name"], "left_semi")
     # one row per port name and locale; the last one given stands
-    last = named.join(known, ["hardware_id", "original_name"], "left_semi")
-    parts["hardware_io_translations"] = last.dropDuplicates(["hardware_id", "locale", "original_name"])
+    last = F.max(F.struct("pos", "translated_name", "translated_description")).alias("_last")
+    parts["hardware_io_translations"] = (
+        named.groupBy("hardware_id", "locale", "original_name").agg(last).select("*", "_last.*")
+    )
     return parts
 
 

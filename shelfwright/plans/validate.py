@@ -286,14 +286,12 @@ def cycle_findings(docs: DataFrame) -> DataFrame:
     """Products whose chain of superseded products runs into a cycle."""
     rows = _products(docs, "id", "supersedes")
     # collections have their own chains: the collection is part of the node
-    node = lambda column: F.when(
-        (F.col(column) != ""), F.concat_ws("/", "collection", column)
-    )
-    edges = lineage.edges_of(
-        rows.select(node("id").alias("a"), node("supersedes").alias("b")).dropDuplicates(["a"]), "a", "b"
-    )
-    starts, _ = lineage.cycles(edges)
-    slugs = rows.select("collection", "slug", node("id").alias("node")).dropDuplicates(["node"])
+    node = lambda column: F.when(F.col(column) != "", F.concat_ws("/", "collection", column))
+    nodes = rows.select("collection", "slug", node("id").alias("node"), node("supersedes").alias("next"))
+    # where an id is given twice, the later document stands
+    links = nodes.where(F.col("next").isNotNull()).groupBy("node").agg(F.max_by("next", "slug").alias("next"))
+    starts, _ = lineage.cycles(lineage.edges_of(links, "node", "next"))
+    slugs = nodes.where(F.col("node").isNotNull()).groupBy("collection", "node").agg(F.max("slug").alias("slug"))
     entries = slugs.select(F.col("slug").alias("_entry"), F.col("node").alias("entry"))
     named = starts.join(slugs, "node").join(entries, "entry")
     message = F.concat(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -21,36 +22,45 @@ RAW = "collection string, slug string, path string, content binary"
 _PARSED = "collection string, slug string, path string, json string, error string"
 
 
+# The plain scalars of the YAML 1.2 core schema; everything else is text.
+_SCALARS = {
+    "null": (r"^(?:~|null|Null|NULL|)$", ["~", "n", "N", ""]),
+    "bool": (r"^(?:true|True|TRUE|false|False|FALSE)$", list("tTfF")),
+    "int": (r"^(?:[-+]?[0-9]+|0o[0-7]+|0x[0-9a-fA-F]+)$", list("-+0123456789")),
+    "float": (
+        r"^(?:[-+]?(?:\.[0-9]+|[0-9]+(?:\.[0-9]*)?)(?:[eE][-+]?[0-9]+)?)$",
+        list("-+.0123456789"),
+    ),
+}
+
+
 def _loader():
-    """Safe loader with the plain scalar rules of YAML 1.2: dates and yes/no stay text, and a key
-    given twice is an error."""
+    """Safe loader that keeps dates and yes/no as text and takes a key given twice as an error."""
+    base = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 
-    class Loader(yaml.SafeLoader):
+    class Loader(base):
         pass
 
-    kept = {"tag:yaml.org,2002:int", "tag:yaml.org,2002:float", "tag:yaml.org,2002:null"}
-    Loader.yaml_implicit_resolvers = {
-        first: [(tag, pattern) for tag, pattern in resolvers if tag in kept]
-        for first, resolvers in yaml.SafeLoader.yaml_implicit_resolvers.items()
-    }
-    import re
+    Loader.yaml_implicit_resolvers = {}
+    for name, (pattern, first) in _SCALARS.items():
+        Loader.add_implicit_resolver(f"tag:yaml.org,2002:{name}", re.compile(pattern), first)
 
-    Loader.add_implicit_resolver(
-        "tag:yaml.org,2002:bool", re.compile(r"^(?:true|True|TRUE|false|False|FALSE)$"), list("tTfF")
-    )
+    def integer(loader, node):
+        body = loader.construct_scalar(node)
+        return int(body, 0) if body[:2] in ("0o", "0x") else int(body)
 
-    def mapping(loader, node, deep=False):
-        seen = set()
-        for key_node, _ in node.value:
-            key = loader.construct_object(key_node, deep=True)
-            if str(key) in seen:
+    def mapping(loader, node):
+        keys = [str(loader.construct_object(key, deep=True)) for key, _ in node.value]
+        for key, (key_node, _) in zip(keys, node.value):
+            if keys.count(key) > 1:
                 raise yaml.constructor.ConstructorError(
                     None, None, f"duplicate key {key!r}", key_node.start_mark
                 )
-            seen.add(str(key))
-        loader.flatten_mapping(node)
-        return {str(k): v for k, v in yaml.SafeLoader.construct_mapping(loader, node, deep=True).items()}
+        return {
+            key: loader.construct_object(value, deep=True) for key, (_, value) in zip(keys, node.value)
+        }
 
+    Loader.add_constructor("tag:yaml.org,2002:int", integer)
     Loader.add_constructor("tag:yaml.org,2002:map", mapping)
     return Loader
 

@@ -52,6 +52,15 @@ def test_reading_keeps_dates_as_text_and_quarantines_what_it_cannot_read(clean,
     ]
 
 
+def test_plain_scalars_follow_the_core_schema(spark, tmp_path):
+    body = "a: 010\nb: 12:30\nc: yes\nd: 1_000\ne: 0x1f\nf: 1.5\ng: true\nh: ~\ni: 2001-01-01\nj: <<\n"
+    docs = src.read_documents(spark, write({"software/one.yaml": body}, tmp_path))
+    assert docs.first()["json"] == (
+        '{"a": 10, "b": "12:30", "c": "yes", "d": "1_000", "e": 31, "f": 1.5, "g": true, "h": null, '
+        '"i": "2001-01-01", "j": "<<"}'
+    )
+
+
 def test_missing_collection_is_empty(spark, tmp_path):
     root = write({"software/one.yaml": "name: One\n"}, tmp_path)
     assert rows(src.read_raw(spark, root), "collection", "slug", "path") == [("software", "one", "software/one.yaml")]
@@ -220,7 +229,7 @@ def test_verdict(broken, clean, report, vocabulary):
 def test_report_shapes(report):
     titled = fd.with_titles(report).where("code = 'E110'")
     assert rows(titled, "title", "docs")[0] == (
-        "YAML syntax error", "docs/VALIDATION_ERRORS.md#e110-yaml-syntax-error"
+        "YAML syntax error", "findings.md#e110-yaml-syntax-error"
     )
     per_document = fd.per_document(report).where("slug = 'bad-list'").first()
     assert len(per_document["findings"]) == 4
