@@ -71,13 +71,11 @@ def query_terms(text: str) -> list[str]:
 
 
 def write_index(postings: DataFrame, path: str) -> None:
-    """Store postings by term bucket. A bucket is spread by document too, so that the postings of
-    a word found everywhere do not end up in one task."""
+    """Store postings by term bucket, in balanced ranges of bucket, term and document: a word found
+    everywhere is spread over many tasks, rare ones share a file."""
     bucketed = postings.withColumn("bucket", _bucket(F.col("term")))
-    spread = bucketed.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(16)))
-    spread.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy(
-        "bucket"
-    ).parquet(path)
+    ranged = bucketed.repartitionByRange("bucket", "term", "doc").sortWithinPartitions("bucket", "term")
+    ranged.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
 def _bucket(term: Column) -> Column:
