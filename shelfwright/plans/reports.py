@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright.functions.urls import extract_urls
-from shelfwright.operators import coverage, freshness as fresh, health
+from shelfwright.operators import changes as cdc, coverage, freshness as fresh, health
 from shelfwright.operators.relational import union_collections
 from shelfwright.sources import documents as src
 
@@ -66,3 +66,11 @@ def link_health(docs: DataFrame, cache: DataFrame, as_of: Column) -> DataFrame:
         F.lit(True).alias("broken"),
     )
     return judged.unionByName(unreadable)
+
+
+def changed_documents(base: DataFrame, current: DataFrame) -> DataFrame:
+    """Documents that are new or differ from the older snapshot, for checks of what changed only."""
+    keys = ["collection", "slug"]
+    content = lambda docs: docs.select(*keys, "json", "error")
+    changed = cdc.classify(content(base), content(current), keys)
+    return current.join(changed.where(F.col("op") != cdc.DELETED), keys, "left_semi")
