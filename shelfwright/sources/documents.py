@@ -123,6 +123,14 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
     return parse(read_raw(spark, root))
 
 
+def store_documents(docs: DataFrame, path: str) -> DataFrame:
+    """Write parsed documents by collection and read them from there: every plan over them scans the
+    documents several times, and the folder of a collection is all that a plan for it has to read."""
+    docs.write.mode("overwrite").partitionBy("collection").parquet(path)
+    stored = docs.sparkSession.read.schema(docs.schema).parquet(path)
+    return stored.select(*docs.columns)
+
+
 def readable(docs: DataFrame) -> DataFrame:
     """Documents that could be read; the others are left to the findings."""
     return docs.where(F.col("error").isNull() & F.schema_of_variant("doc").startswith("OBJECT"))

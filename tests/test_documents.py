@@ -61,6 +61,14 @@ def test_plain_scalars_follow_the_core_schema(spark, tmp_path):
     )
 
 
+def test_stored_documents_are_the_same(clean, tmp_path):
+    stored = src.store_documents(clean, str(tmp_path / "docs"))
+    assert rows(stored, "collection", "slug", "json") == rows(clean, "collection", "slug", "json")
+    assert rows(src.typed(stored, "software"), "id", "name") == rows(src.typed(clean, "software"), "id", "name")
+    plan = src.typed(stored, "software")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(collection" in plan
+
+
 def test_missing_collection_is_empty(spark, tmp_path):
     root = write({"software/one.yaml": "name: One\n"}, tmp_path)
     assert rows(src.read_raw(spark, root), "collection", "slug", "path") == [("software", "one", "software/one.yaml")]
