@@ -17,6 +17,7 @@ from shelfwright.operators import (
     references as refs,
     translations as tr,
 )
+from shelfwright.operators.coverage import missing_formats
 from shelfwright.operators.reshape import alias_map
 from shelfwright.plans.publish import port_translations
 from shelfwright.sources import documents as src
@@ -303,8 +304,8 @@ def cycle_findings(docs: DataFrame) -> DataFrame:
 
 
 def extra_findings(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Rules the code list provides for but the standard set leaves out: parent companies and
-    identifiers, and locales outside the approved list."""
+    """Rules the code list provides for but the standard set leaves out: parent companies, release
+    dates, locales, translated ports, and identifiers that are malformed or missing."""
     rows = src.readable(docs)
     owners = docs.where(F.col("collection") == "manufacturers").select(F.col("slug").alias("owner"))
     parent = rows.where(F.col("collection") == "manufacturers").select(
@@ -312,8 +313,21 @@ def extra_findings(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
     orphan = refs.dangling(parent.where(F.col("parent") != ""), ["parent"], owners, ["owner"])
     held = rows.where(F.col("collection") == "software").select(
-        "collection", "slug", F.try_variant_get("doc", "$.identifiers", "map<string,string>").alias("ids")
+        "collection", "slug",
+        F.coalesce(
+            F.try_variant_get("doc", "$.identifiers", "map<string,string>"),
+            F.create_map().cast("map<string,string>"),
+        ).alias("ids"),
+        F.try_variant_get("doc", "$.formats", "array<string>").alias("formats"),
     )
+    missing = held.select(
+        "collection", "slug", F.explode(missing_formats(F.col("formats"), F.col("ids"))).alias("format")
+    )
+    released = F.col("releaseDate")
+    undated = _products(docs, "releaseDate").where(
+        (released != "") & ~dates.is_iso_date(released) & ~released.rlike(r"\A[0-9]{4}\z")
+    )
+    ports = translation_findings(docs, vocabulary).where(F.contains("path", F.lit(".io.")))
     bad = held.select("collection", "slug", F.explode(invalid_identifiers(F.col("ids"))).alias("bad"))
     locales = vocabulary.locale_frame(docs.sparkSession)
     foreign = tr.unapproved(src.translations(docs), "locale", locales, "code")
@@ -326,6 +340,15 @@ def extra_findings(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             bad, tier=fd.SHAPE, code="E400", path=F.concat(F.lit("identifiers."), "bad.format"),
             message=F.col("bad.error"),
         ),
+        fd.finding(
+            missing, tier=fd.SHAPE, code="E401", path=F.concat(F.lit("identifiers."), "format"),
+            message=F.concat(F.lit("no identifier for "), "format"),
+        ),
+        fd.finding(
+            undated, tier=fd.SHAPE, code="E108", path="releaseDate",
+            message=F.concat(F.lit("not a date: "), "releaseDate"),
+        ),
+        fd.finding(ports, tier=fd.SHAPE, code="E204", path=F.col("path"), message=F.col("message")),
         fd.finding(
             foreign, tier=fd.SHAPE, code="E107", path=F.concat(F.lit("translations."), "locale"),
             message="locale is not approved",

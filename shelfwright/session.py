@@ -34,9 +34,10 @@ def durable(df: DataFrame, eager: bool = True) -> DataFrame:
     one machine does not survive the loss of that machine. With ``eager`` off it is the caller's next
     action that writes it.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

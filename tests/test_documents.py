@@ -250,8 +250,9 @@ def test_report_shapes(report):
 def test_extra_rules_are_off_by_default(clean, vocabulary, report):
     extra = rows(val.extra_findings(clean, vocabulary), "slug", "code", "path")
     assert extra == [
-        ("aurora-labs", "E107", "translations.it"), ("cirrus", "E203", "parentCompany"),
-        ("glow", "E400", "identifiers.aax"),
+        ("aurora-labs", "E107", "translations.it"), ("beacon", "E204", "translations.de.io.1"),
+        ("cirrus", "E203", "parentCompany"), ("glow", "E400", "identifiers.aax"),
+        ("glow", "E401", "identifiers.au"), ("glow-classic", "E401", "identifiers.vst2"),
     ]
 
 
