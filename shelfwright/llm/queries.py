@@ -37,3 +37,16 @@ def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "covered_words", "longest_repeat", "base_failed", "kept",
     )
+
+
+@register()
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every whole document."""
+    import public_tokenizers
+
+    from shelfwright.llm.tokens import LIMIT, token_counts
+
+    counts = token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"), "n_chunks", "n_widened"
+    )

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True  # [\x20\x09-\x0D]
@@ -21,7 +22,7 @@ def row_slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Ite
     """The batch in runs of rows with at most ``size`` bytes of text each, or one row."""
     if not batch.num_rows:
         return
-    lengths = np.nan_to_num(pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)).astype(np.int64)
+    lengths = np.nan_to_num(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)).astype(np.int64)
     ends = np.cumsum(lengths)
     start = 0
     while start < batch.num_rows:
@@ -33,7 +34,7 @@ def row_slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Ite
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column, and the n + 1 row bounds in them."""
-    column = pa.compute.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_string()), "")
     n = len(column)
     if not n:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
