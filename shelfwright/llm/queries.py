@@ -50,3 +50,79 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"), "n_chunks", "n_widened"
     )
+
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+RULED = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+CONTAMINATION = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {RULED} AS w FROM documents),
+i AS MATERIALIZED (SELECT item_id, {RULED} AS w FROM benchmark),
+iw AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, w[s : s + least(len(w), 13) - 1] AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, s, n, w[s : s + n - 1] AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
+h AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, s, dw.n AS n FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+p AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+      FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS keys
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(keys, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN p ON d.doc_id = p.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+
+@register(CONTAMINATION)
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside a window of a benchmark item."""
+    from shelfwright.llm.winnowing import contamination
+
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+SITE_LINES = r"""
+WITH p AS MATERIALIZED (
+  SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)), '') AS host,
+    string_split(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+      '<script[^>]*>.*?</script>', chr(10), 'gis'), '<style[^>]*>.*?</style>', chr(10), 'gis'),
+      '<!--.*?-->', chr(10), 'gs'), '(?:\s*<[^>]*>\s*)+', chr(10), 'g'), BLANKS), chr(10)) AS lines
+  FROM pages),
+l AS MATERIALIZED (SELECT page_id, host, pos, line, trim(line, BLANKS) AS bare
+  FROM (SELECT page_id, host, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM p)),
+b AS (SELECT host, bare, count(DISTINCT page_id) AS n FROM l WHERE bare <> '' GROUP BY host, bare),
+t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+x AS (SELECT b.host, bare FROM b JOIN t ON b.host IS NOT DISTINCT FROM t.host WHERE n >= 3 AND n > 0.1 * pages),
+k AS (SELECT l.*, x.bare IS NOT NULL AS gone
+      FROM l LEFT JOIN x ON l.host IS NOT DISTINCT FROM x.host AND l.bare = x.bare)
+SELECT p.page_id, p.host, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS text_or_null,
+  count(pos) AS n_lines, count(*) FILTER (gone) AS n_dropped
+FROM p LEFT JOIN k ON p.page_id = k.page_id GROUP BY p.page_id, p.host, p.lines
+"""
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@register(
+    "SELECT page_id, host, n_lines, n_dropped, CASE WHEN n_lines > 0 THEN coalesce(text_or_null, '') END AS text FROM ("
+    + SITE_LINES.replace("BLANKS", BLANKS)
+    + ")"
+)
+def op4_site_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The text of every page without the lines that its host repeats."""
+    from shelfwright.llm.site_lines import drop_boilerplate, host_of, html_lines
+
+    pages = table(spark, folder, "pages").select(
+        "page_id", host_of(F.col("url")).alias("host"), html_lines(F.col("html")).alias("text")
+    )
+    return drop_boilerplate(pages, "host", counts=("n_lines", "n_dropped"))
