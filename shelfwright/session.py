@@ -26,15 +26,12 @@ def build_session(app: str = "shelfwright", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the session names it in ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a local session that
-    names none gets a temporary one; a cluster without the setting is an error, because a folder on
-    one machine does not survive the loss of that machine. With ``eager`` off it is the caller's next
-    action that writes it.
+    Only a local session that names none gets a temporary one; a cluster without the setting is an error,
+    because a folder on one machine does not survive the loss of that machine.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,4 +40,13 @@ def durable(df: DataFrame, eager: bool = True) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there.
+
+    With ``eager`` off it is the caller's next action that writes it.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager)
