@@ -126,3 +126,25 @@ def op4_site_lines(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", host_of(F.col("url")).alias("host"), html_lines(F.col("html")).alias("text")
     )
     return drop_boilerplate(pages, "host", counts=("n_lines", "n_dropped"))
+
+
+RECORDS = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest,
+             CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest
+"""
+
+
+@register(RECORDS)
+def op5_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    """A WARC record per page, read back through the merged capture index."""
+    from shelfwright.llm.archives import capture_history
+
+    # the table has no capture time; ids stand for seconds
+    time = F.lit(1_700_000_000) + F.col("page_id")
+    found = capture_history(table(spark, folder, "pages"), "page_id", "url", "html", time)
+    return found.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
