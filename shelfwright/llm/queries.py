@@ -148,3 +148,11 @@ def op5_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     time = F.lit(1_700_000_000) + F.col("page_id")
     found = capture_history(table(spark, folder, "pages"), "page_id", "url", "html", time)
     return found.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register()
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of each document a mix to the target weights takes."""
+    from shelfwright.llm.mixing import taken_words
+
+    return taken_words(table(spark, folder, "documents"))
