@@ -156,3 +156,11 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     from shelfwright.llm.mixing import taken_words
 
     return taken_words(table(spark, folder, "documents"))
+
+
+@register()
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate component of every document, on two-word shingles."""
+    from shelfwright.llm.minhash import near_components
+
+    return near_components(table(spark, folder, "documents"), shingle=2)
