@@ -164,3 +164,30 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     from shelfwright.llm.minhash import near_components
 
     return near_components(table(spark, folder, "documents"), shingle=2)
+
+
+SPLIT = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+REPEATS = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {SPLIT} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20),
+x AS MATERIALIZED (SELECT doc_id, s, sha256(array_to_string(w[s : s + 19], ' ')) AS k FROM p),
+f AS (SELECT k, min(struct_pack(a := doc_id, b := s)) AS first FROM x GROUP BY k),
+g AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS place
+      FROM x JOIN f ON x.k = f.k WHERE struct_pack(a := doc_id, b := s) <> first),
+u AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS word FROM d),
+c AS (SELECT u.doc_id, count(g.place) AS n_removed, string_agg(word, ' ' ORDER BY u.place) FILTER (g.place IS NULL) AS kept
+      FROM u LEFT JOIN g ON u.doc_id = g.doc_id AND u.place = g.place GROUP BY u.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id
+"""
+
+
+@register(REPEATS)
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that no earlier window of twenty words repeats."""
+    from shelfwright.llm.superkmers import without_repeats
+
+    kept = without_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
