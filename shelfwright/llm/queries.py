@@ -191,3 +191,17 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     kept = without_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register()
+def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored by a model of nine tenths of them."""
+    from shelfwright.llm.kneser_ney import held_out, scored, train
+
+    docs = table(spark, folder, "documents")
+    model = train(docs.filter(~held_out("doc_id")))
+    scores = scored(docs, model).withColumn("held_out", held_out("doc_id"))
+    return scores.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "perplexity",
+    )
