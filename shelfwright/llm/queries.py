@@ -205,3 +205,27 @@ def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score", "perplexity",
     )
+
+
+@register()
+def op2_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every whole document, by patterns and by the trained tagger."""
+    from shelfwright.llm.private_data import private_spans, train_tagger
+
+    docs = table(spark, folder, "documents")
+    found = private_spans(docs, train_tagger(docs))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["pattern"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in ("email", "ip", "card", "phone")],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
