@@ -20,9 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwright.session import durable
+
 WINDOW = 13
 K = 7
 BROADCAST_BYTES = 8 << 20
+BROADCAST_IDS = 500_000  # ids small enough to send to all tasks
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -171,10 +174,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns. A document is dropped by its id."""
-    bad = (
+    bad = durable(
         contamination(docs, items, id_col, text_col, **options)
         .filter("contaminated")
         .select(F.col(id_col).alias("_bad"))
         .distinct()
     )
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+    few = bad.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(bad) if few else bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
