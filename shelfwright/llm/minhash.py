@@ -216,4 +216,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The documents with the smallest id of their component, with all their columns."""
     gone = durable(near_components(docs, id_col, text_col, **options).filter("NOT kept").select(F.col(id_col).alias("_gone")).distinct())
     few = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == F.col("_gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["_gone"], "left_anti")

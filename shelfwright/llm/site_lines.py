@@ -1,16 +1,17 @@
 """Line dedup by site-relative frequency, in DataFrame expressions only.
 
 For each site, the pages that hold a line are divided by the site's pages; lines above ``ratio`` are
-boilerplate and are dropped from all pages of the site. A line is compared without ASCII white space at
+boilerplate and are dropped from all pages of the site. Pages of one site with equal texts count as one page,
+so that a text does not become boilerplate by being copied. A line is compared without ASCII white space at
 its ends, by two 64-bit hashes; blank lines stay. A line on fewer than ``least`` pages is never dropped, so
 that sites of a few pages lose nothing.
 
-Lines are counted once per page, summed before the shuffle, and keyed by (site, line), so a hot site is
-spread over all tasks. What is dropped comes back as one short list per site (at most lines-per-page /
+Lines are counted once per page, by (site, line, page text) and then by (site, line), so neither a hot site nor
+a hot line meets in one task. What is dropped comes back as one short list per site (at most lines-per-page /
 ratio), broadcast while all lists together are under ``broadcast_bytes`` and joined by site beyond it.
 
-Defined cases: a NULL site is a site of its own; a NULL text stays NULL and counts as a page without
-lines; an empty text stays; repeated rows are pages of their own; other columns, of any name, are kept.
+Defined cases: a NULL site is a site of its own; a NULL text stays NULL and counts like an empty one, as a page
+without lines; repeated rows are all cleaned and count once; other columns, of any name, are kept.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from shelfwright.session import durable
 
 RATIO = 0.1
-LEAST = 3
+LEAST = 10
 BROADCAST_BYTES = 8 << 20
 
 BLANK = " \t\n\u000b\f\r"
@@ -35,10 +36,18 @@ def line_key(line: Column) -> Column:
 
 def boilerplate(pages: DataFrame, site_col: str, text_col: str, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """Per site, the keys of its boilerplate lines: (site, lines)."""
-    keys = F.array_distinct(F.transform(F.split(F.coalesce(text_col, F.lit("")), "\n"), line_key))
-    lines = pages.select(F.col(site_col).alias("site"), F.explode_outer(keys).alias("line")).filter("line IS NOT NULL")
-    held = lines.groupBy("site", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    totals = pages.groupBy(F.col(site_col).alias("of")).agg(F.count("*").alias("pages"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keys = F.array_distinct(F.transform(F.split(text, "\n"), line_key))
+    lines = pages.select(F.col(site_col).alias("site"), F.xxhash64(text).alias("page"), F.explode_outer(keys).alias("line"))
+    held = (
+        lines.filter("line IS NOT NULL")
+        .groupBy("site", "line", "page")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("site", "line")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= least)
+    )
+    totals = pages.select(F.col(site_col).alias("of"), F.xxhash64(text).alias("page")).distinct().groupBy("of").agg(F.count("*").alias("pages"))
     return (
         held.join(totals, F.col("site").eqNullSafe(F.col("of")))
         .filter(F.col("n") > ratio * F.col("pages"))
@@ -60,13 +69,14 @@ def drop_boilerplate(
     lists = durable(boilerplate(pages, site_col, text_col, ratio, least).select(F.col("site").alias("_site"), F.col("lines").alias("_lines")))
     size = lists.agg(F.sum(F.size("_lines") * 24 + F.coalesce(F.octet_length("_site"), F.lit(0)) + 32).alias("n")).first()["n"] or 0
     lists = F.broadcast(lists) if size <= broadcast_bytes else lists
-    lines = F.split(F.col(text_col), "\n")
-    kept = F.filter("_all", lambda x: F.coalesce(~F.array_contains("_lines", line_key(x)), F.lit(True)))
-    joined = pages.join(lists, F.col(site_col).eqNullSafe(F.col("_site")), "left").withColumn("_all", lines)
-    joined = joined.withColumn("_kept", F.when(F.col("_lines").isNull(), F.col("_all")).otherwise(kept))
-    more = [F.coalesce(F.size("_all"), F.lit(0)), F.coalesce(F.size("_all") - F.size("_kept"), F.lit(0))] if counts else []
+    # the page travels as one struct, so that its columns may have any names
+    rows = pages.select(F.struct("*").alias("row"), F.col(site_col).alias("s"), F.split(F.col(text_col), "\n").alias("all"))
+    joined = rows.join(lists, F.col("s").eqNullSafe(F.col("_site")), "left")
+    kept = F.filter("all", lambda x: F.coalesce(~F.array_contains("_lines", line_key(x)), F.lit(True)))
+    joined = joined.withColumn("kept", F.when(F.col("_lines").isNull(), F.col("all")).otherwise(kept))
+    more = [F.coalesce(F.size("all"), F.lit(0)), F.coalesce(F.size("all") - F.size("kept"), F.lit(0))] if counts else []
     return joined.select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in pages.columns],
+        *[F.array_join("kept", "\n").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in pages.columns],
         *[c.cast("long").alias(name) for c, name in zip(more, counts or ())],
     )
 
