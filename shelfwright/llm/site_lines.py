@@ -37,20 +37,21 @@ def line_key(line: Column) -> Column:
 def boilerplate(pages: DataFrame, site_col: str, text_col: str, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """Per site, the keys of its boilerplate lines: (site, lines)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keys = F.array_distinct(F.transform(F.split(text, "\n"), line_key))
+    # every page has a blank line at least (a NULL key), which counts the site's pages in the same pass
+    keys = F.array_distinct(F.transform(F.split(F.concat(text, F.lit("\n")), "\n"), line_key))
     lines = pages.select(F.col(site_col).alias("site"), F.xxhash64(text).alias("page"), F.explode_outer(keys).alias("line"))
-    held = (
-        lines.filter("line IS NOT NULL")
-        .groupBy("site", "line", "page")
+    counts = durable(
+        lines.groupBy("site", "line", "page")
         .agg(F.lit(1).alias("one"))
         .groupBy("site", "line")
         .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= least)
+        .filter((F.col("n") >= least) | F.col("line").isNull())
     )
-    totals = pages.select(F.col(site_col).alias("of"), F.xxhash64(text).alias("page")).distinct().groupBy("of").agg(F.count("*").alias("pages"))
+    totals = counts.filter("line IS NULL").select(F.col("site").alias("of"), F.col("n").alias("pages"))
     return (
-        held.join(totals, F.col("site").eqNullSafe(F.col("of")))
-        .filter(F.col("n") > ratio * F.col("pages"))
+        counts.filter("line IS NOT NULL")
+        .join(totals, F.col("site").eqNullSafe(F.col("of")))
+        .filter((F.col("n") >= least) & (F.col("n") > ratio * F.col("pages")))
         .groupBy("site")
         .agg(F.collect_list("line").alias("lines"))
     )
