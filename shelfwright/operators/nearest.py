@@ -1,13 +1,14 @@
 """Nearest vocabulary term within edit distance 3, without comparing every pair.
 
-An option is cut into four pieces. At most three edits cannot touch all four, so an input in reach
-holds one piece unchanged, shifted by no more than the edits before it. Both sides are joined on
-equal pieces and the exact distance is checked on the pairs that meet, so the pieces only ever save
-work: no match is lost and none is invented.
-
-A piece that very many options share (a common prefix, say) would bring all of them together. Such
-options are matched by deletion variants instead: two strings in reach share a string that either
-becomes by losing at most three characters, and only strings that are close have one in common.
+Two strings at distance k share a string that either becomes by losing at most k characters. The first round joins both
+sides on such strings for k = 1, which are as many as a word has letters, and inputs that find an option leave; so a
+dense vocabulary answers here, where few pairs meet.
+
+For the others an option is cut into four pieces. At most three edits cannot touch all four, so an input in reach
+holds one piece unchanged, shifted by no more than the edits before it, and meets the option by it. A piece of more than
+``SHARED`` options (a common prefix, say) brings no pairs: inputs that hold one look for those options by strings that
+lack three characters, of which far strings have none in common. Both ways are filters before the exact distance, so no
+match is lost and none is invented.
 """
 
 from __future__ import annotations
@@ -15,23 +16,74 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright import fixed_values as fixed
+from shelfwright.session import durable
 
 REACH = fixed.NEAREST_MAX_DISTANCE
 PIECES = REACH + 1
-CROWDED = 1000  # options per piece from which the deletion variants take over
+SHARED = 64  # options of one piece that are still compared one by one
+FIRST = 1  # distance of the first round
 
 
-def _start() -> Column:
-    return F.expr(f"cast((i * m) div {PIECES} as int)")
+def _shorter(df: DataFrame, text: str, losses: int) -> DataFrame:
+    """``df`` with ``_variant``: a row for each way in which ``text`` loses at most ``losses`` characters.
+
+    Places are exploded one after the other, which stays inside generated code.
+    """
+    n = F.length(text)
+    result = df.withColumn("_variant", F.col(text))
+    for count in range(1, losses + 1):
+        rows, kept, last = df.where(n >= count), [], F.lit(0)
+        for i in range(1, count + 1):
+            rows = rows.withColumn(f"_p{i}", F.explode(F.sequence(last + 1, n - (count - i))))
+            kept.append(F.substring(F.col(text), last + 1, F.col(f"_p{i}") - last - 1))
+            last = F.col(f"_p{i}")
+        kept.append(F.substring(F.col(text), last + 1, n))
+        rows = rows.withColumn("_variant", F.concat(*kept))
+        result = result.unionByName(rows.drop(*[f"_p{i}" for i in range(1, count + 1)]))
+    return result
+
+
+def in_reach(asked: DataFrame, terms: DataFrame, distance: int) -> DataFrame:
+    """Inputs for which an option of a possible length exists."""
+    lengths = terms.select(F.length("_term").alias("m")).distinct()
+    n = F.length("_asked")
+    near = asked.withColumn("m", F.explode(F.sequence(F.greatest(n - distance, F.lit(0)), n + distance)))
+    return near.join(lengths, "m", "left_semi").drop("m").distinct()
+
+
+def candidates(asked: DataFrame, terms: DataFrame, distance: int) -> DataFrame:
+    """The pairs of input and option that share a string after at most ``distance`` losses, each once.
+
+    Strings of up to ``distance`` characters all share the empty string. Through it the distance is at most the longer length,
+    so the first option of each length stands for the others.
+    """
+    row = F.struct("_option", "_position", "_term")
+    split = _shorter(terms, "_term", distance)
+    blank = F.col("_variant") == ""
+    first = (
+        split.where(blank)
+        .groupBy(F.length("_term").alias("m"))
+        .agg(F.min_by(row, "_position").alias("_row"))
+        .select("_row.*", F.lit("").alias("_variant"))
+    )
+    split = split.where(~blank).unionByName(first)
+    wanted = _shorter(in_reach(asked, terms, distance), "_asked", distance)
+    close = F.abs(F.length("_asked") - F.length("_term")) <= distance
+    return wanted.join(split, "_variant").where(close).drop("_variant").distinct()
 
 
-def _size() -> Column:
-    return F.expr(f"cast(((i + 1) * m) div {PIECES} - (i * m) div {PIECES} as int)")
+def _start() -> Column:
+    return F.expr(f"cast((i * m) div {PIECES} as int)")
 
 
 def _piece_key(text: str, shift: Column) -> Column:
     """Hash of piece ``i`` of an option of ``m`` characters, read from ``text`` at ``shift``."""
-    return F.xxhash64("m", "i", F.substr(F.col(text), _start() + shift + 1, _size()))
+    size = F.expr(f"cast(((i + 1) * m) div {PIECES} - (i * m) div {PIECES} as int)")
+    return F.xxhash64("m", "i", F.substr(F.col(text), _start() + shift + 1, size))
+
+
+def _each_piece() -> Column:
+    return F.explode(F.array(*[F.lit(i) for i in range(PIECES)]))
 
 
 def _option_keys(terms: DataFrame) -> DataFrame:
@@ -39,73 +91,56 @@ def _option_keys(terms: DataFrame) -> DataFrame:
     return numbered.withColumn("_key", _piece_key("_term", F.lit(0))).drop("m", "i")
 
 
-def _each_piece() -> Column:
-    return F.explode(F.array(*[F.lit(i) for i in range(PIECES)]))
-
-
 def _asked_keys(asked: DataFrame, terms: DataFrame) -> DataFrame:
     """Keys an input may share with options of each length in reach.
 
     With ``i`` edits before piece ``i`` and the rest after it, the shift is at most ``i`` one way
     and, measured from the end, at most ``REACH - i`` the other way; one such piece always exists.
-    Lengths that no option has are dropped first, so long junk is never taken apart.
     """
     lengths = terms.select(F.length("_term").alias("m")).distinct()
     n, m, i = F.length("_asked"), F.col("m"), F.col("i")
-    in_reach = F.sequence(F.greatest(n - REACH, F.lit(0)), n + REACH)
-    near = asked.withColumn("m", F.explode(in_reach)).join(lengths, "m", "left_semi")
+    around = F.sequence(F.greatest(n - REACH, F.lit(0)), n + REACH)
+    near = asked.withColumn("m", F.explode(around)).join(lengths, "m", "left_semi")
     low = F.greatest(-i, n - m - (REACH - i), -_start())
     high = F.least(i, n - m + (REACH - i))
-    shifted = (
-        near.withColumn("i", _each_piece())
-        .where(low <= high)
-        .withColumn("d", F.explode(F.sequence(low, high)))
-    )
+    shifted = near.withColumn("i", _each_piece()).where(low <= high).withColumn("d", F.explode(F.sequence(low, high)))
     return shifted.withColumn("_key", _piece_key("_asked", F.col("d"))).drop("m", "i", "d")
 
 
-def _deletion_variants(text: str) -> Column:
-    """Every string reachable from ``text`` by deleting up to three characters."""
-    shorter = (
-        "flatten(transform(v, s -> transform(sequence(1, greatest(length(s), 1)), "
-        "i -> concat(left(s, i - 1), substr(s, i + 1)))))"
-    )
-    variants = f"array({text})"
-    for _ in range(REACH):
-        # binding the array through a one-element transform evaluates it once per step
-        grown = f"array_distinct(concat(v, {shorter}))"
-        variants = f"element_at(transform(array({variants}), v -> {grown}), 1)"
-    return F.expr(variants)
-
-
-def _crowded_pairs(asked: DataFrame, terms: DataFrame) -> DataFrame:
-    """Candidate pairs by shared deletion variant."""
-    by_variant = terms.withColumn("_variant", F.explode(_deletion_variants("_term")))
-    # all strings of up to three characters share the empty variant; through it the distance is the
-    # longer length, so the first option of each length stands for the others
-    blank = F.col("_variant") == ""
-    row = F.struct("_option", "_position", "_term", "_variant")
-    first_of_length = (
-        by_variant.where(blank)
-        .groupBy(F.length("_term").alias("m"))
-        .agg(F.min_by(row, "_position").alias("_row"))
-        .select("_row.*")
-    )
-    by_variant = by_variant.where(~blank).unionByName(first_of_length)
-    wanted = asked.withColumn("_variant", F.explode(_deletion_variants("_asked")))
-    return wanted.join(by_variant, "_variant").select(*_PAIR)
+def far_candidates(asked: DataFrame, terms: DataFrame, shared: int = SHARED) -> DataFrame:
+    """The pairs of input and option that share a piece, or for common pieces a string that lacks three characters."""
+    option_keys, asked_keys = _option_keys(terms), _asked_keys(asked, terms)
+    common = option_keys.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > shared).select("_key")
+    pairs = asked_keys.join(option_keys.join(common, "_key", "left_anti"), "_key").drop("_key")
+    crowd = option_keys.join(common, "_key", "left_semi").drop("_key").distinct()
+    askers = asked_keys.join(common, "_key", "left_semi").drop("_key").distinct()
+    return pairs.select(*_PAIR).unionByName(candidates(askers, crowd, REACH).select(*_PAIR))
 
 
 _PAIR = ["_input", "_asked", "_option", "_position", "_term"]
 
 
+def _best(pairs: DataFrame, value: str, distance: int) -> DataFrame:
+    return (
+        pairs.withColumn("_distance", F.levenshtein(F.col("_asked"), F.col("_term"), distance))
+        .where(F.col("_distance") >= 0)
+        .groupBy("_input")
+        .agg(F.min(F.struct("_distance", "_position", "_option")).alias("_best"))
+        .select(
+            F.col("_input").alias(value),
+            F.col("_best._option").alias("suggestion"),
+            F.col("_best._distance").alias("distance"),
+        )
+    )
+
+
 def nearest_option(
-    inputs: DataFrame, value: str, options: DataFrame, option: str, position: str,
-    crowded: int = CROWDED,
+    inputs: DataFrame, value: str, options: DataFrame, option: str, position: str, shared: int = SHARED
 ) -> DataFrame:
     """``(value, suggestion, distance)`` for each distinct input that has an option in reach.
 
-    Case is ignored; among equally near options the one with the lowest ``position`` wins.
+    Case is ignored; among equally near options the one with the lowest ``position`` wins. The inputs in reach
+    and the first round are cut with a checkpoint.
     """
     terms = options.select(
         F.col(option).alias("_option"),
@@ -118,26 +153,7 @@ def nearest_option(
         .distinct()
         .withColumn("_asked", F.lower("_input"))
     )
-    option_keys = _option_keys(terms)
-    asked_keys = _asked_keys(asked, terms)
-    heavy = option_keys.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > crowded)
-    heavy = heavy.select("_key")
-    if heavy.isEmpty():
-        pairs = asked_keys.join(option_keys, "_key").select(*_PAIR)
-    else:
-        light = option_keys.join(heavy, "_key", "left_anti")
-        crowd = option_keys.join(heavy, "_key", "left_semi").drop("_key").distinct()
-        askers = asked_keys.join(heavy, "_key", "left_semi").drop("_key").distinct()
-        pairs = asked_keys.join(light, "_key").select(*_PAIR).unionByName(_crowded_pairs(askers, crowd))
-    distance = F.levenshtein(F.col("_asked"), F.col("_term"), REACH)
-    return (
-        pairs.withColumn("_distance", distance)
-        .where(F.col("_distance") >= 0)
-        .groupBy("_input")
-        .agg(F.min(F.struct("_distance", "_position", "_option")).alias("_best"))
-        .select(
-            F.col("_input").alias(value),
-            F.col("_best._option").alias("suggestion"),
-            F.col("_best._distance").alias("distance"),
-        )
-    )
+    asked = durable(in_reach(asked, terms, REACH))
+    near = durable(_best(candidates(asked, terms, FIRST), value, FIRST))
+    waiting = asked.join(near.select(F.col(value).alias("_input")), "_input", "left_anti")
+    return near.unionByName(_best(far_candidates(waiting, terms, shared), value, REACH))

@@ -47,15 +47,18 @@ def dangling_composite(t):
     return refs.dangling(translated, pair, ports, pair)
 
 
-_TOKENS = r"""
-    tokens AS (
-      SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token, lang FROM documents)
-"""
+_SPLIT = r"unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}\p{M}]+'), lambda t: t <> ''))"
+_TOKENS = f"tokens AS MATERIALIZED (SELECT DISTINCT {_SPLIT} AS token, lang FROM documents)"
 
 
 def _tokens(t):
-    found = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"))
-    return t.documents.select(F.explode(F.array_distinct(found)).alias("token"), "lang").distinct()
+    found = F.array_distinct(text.tokens(F.col("text")))
+    return t.documents.select(F.explode(found).alias("token"), "lang").distinct()
+
+
+def _by_bytes(word):
+    """The word with a byte for each letter, as the database compares bytes; covers the four languages' letters."""
+    return f"translate({word}, 'àâäáèéêëíìîïñóòôöùúûüçßœæ', '!#$%&()*+,-./:;<=>?@[]^_{{|')"
 
 
 @query(
@@ -64,7 +67,7 @@ def _tokens(t):
     options AS (SELECT word, min(p_partkey) AS pos
                 FROM (SELECT unnest(string_split(p_name, ' ')) AS word, p_partkey FROM part) GROUP BY word),
     inputs AS (SELECT DISTINCT token FROM tokens WHERE token NOT IN (SELECT word FROM options)),
-    scored AS (SELECT token, word, pos, levenshtein(token, word) AS d FROM inputs, options
+    scored AS (SELECT token, word, pos, levenshtein({_by_bytes("token")}, {_by_bytes("word")}) AS d FROM inputs, options
                WHERE abs(length(token) - length(word)) <= 3)
     SELECT token, arg_min(word, (d, pos, word)) AS suggestion, min(d)::INTEGER AS distance
     FROM scored WHERE d <= 3 GROUP BY token
@@ -86,12 +89,11 @@ def nearest_term(t):
     f"""
     WITH {_TOKENS}
     SELECT token, count(*)::BIGINT AS languages FROM tokens
-    WHERE token IN (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) FROM benchmark) GROUP BY token
+    WHERE token IN (SELECT {_SPLIT} FROM benchmark) GROUP BY token
     """
 )
 def vocabulary_membership(t):
-    found = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"))
-    words = t.benchmark.select(F.explode(F.array_distinct(found)).alias("token")).distinct()
+    words = t.benchmark.select(F.explode(F.array_distinct(text.tokens(F.col("text")))).alias("token")).distinct()
     known = _tokens(t).join(words, "token", "left_semi")
     return known.groupBy("token").agg(F.count("*").alias("languages"))
 
@@ -128,8 +130,8 @@ def multi_mapped(t):
 @query(
     f"""
     WITH {_TOKENS}
-    SELECT lang, token FROM tokens
-    WHERE lang <> 'en' AND token IN (SELECT token FROM tokens WHERE lang = 'en')
+    SELECT a.lang, a.token FROM tokens a SEMI JOIN (SELECT token FROM tokens WHERE lang = 'en') b ON a.token = b.token
+    WHERE a.lang <> 'en'
     """
 )
 def group_members_known(t):

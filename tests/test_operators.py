@@ -31,29 +31,42 @@ def random_words(seed, count, low, high, letters="abc", prefix=""):
     return [prefix + "".join(rng.choices(letters, k=rng.randint(low, high))) for _ in range(count)]
 
 
-def check_nearest(spark, inputs, options, crowded):
+def check_nearest(spark, inputs, options, shared=nearest.SHARED):
     asked = spark.createDataFrame([(w,) for w in inputs], "word string")
     known = spark.createDataFrame(list(zip(options, range(len(options)))), "option string, pos int")
-    got = nearest.nearest_option(asked, "word", known, "option", "pos", crowded)
+    got = nearest.nearest_option(asked, "word", known, "option", "pos", shared)
     assert {r["word"]: (r["suggestion"], r["distance"]) for r in got.collect()} == brute_nearest(inputs, options)
 
 
 def test_nearest_equals_brute_force(spark):
     options = sorted(set(random_words(1, 150, 0, 9))) + ["Mixed-Case", "x" * 30]
     inputs = random_words(2, 200, 0, 12) + ["mixed-kase", "x" * 33, "x" * 34, "z" * 400, ""]
-    for crowded in (1000, 3, 0):
-        check_nearest(spark, inputs, options, crowded)
+    for shared in (1000, 3, 0):
+        check_nearest(spark, inputs, options, shared)
 
 
 def test_nearest_with_a_shared_prefix(spark):
-    options = sorted(set(random_words(3, 120, 4, 6, "0123456789", prefix="catalog-item-")))
-    inputs = random_words(4, 60, 3, 7, "0123456789", prefix="catalog-item-") + random_words(5, 20, 5, 18)
-    check_nearest(spark, inputs, options, 10)
+    options = sorted(set(random_words(3, 120, 4, 6, "0123456789", prefix="entry-item-")))
+    inputs = random_words(4, 60, 3, 7, "0123456789", prefix="entry-item-") + random_words(5, 20, 5, 18)
+    check_nearest(spark, inputs, options)
+
+
+def test_nearest_makes_few_pairs_of_a_dense_vocabulary(spark):
+    options = [(f"supplier-{i:06d}", i) for i in range(1500)]
+    terms = spark.createDataFrame([(o, i, o) for o, i in options], "_option string, _position int, _term string")
+    asked = spark.createDataFrame([(w, w) for w in (f"suplier-{i:06d}" for i in range(0, 1500, 5))], "_input string, _asked string")
+    assert nearest.candidates(asked, terms, 1).count() <= 300 * 60
+    # inputs that are far from all options, but begin like them, do not meet them all
+    far = spark.createDataFrame([(w, w) for w in (f"supplier-{c}{c}{c}{i:03d}" for c in "xyz" for i in range(0, 999, 10))], "_input string, _asked string")
+    assert nearest.far_candidates(far, terms).distinct().count() <= 300 * 100
+    inputs = spark.createDataFrame([(f"suplier-{i:06d}",) for i in range(0, 1500, 5)], "w string")
+    known = spark.createDataFrame(options, "o string, pos int")
+    got = {r["w"]: (r["suggestion"], r["distance"]) for r in nearest.nearest_option(inputs, "w", known, "o", "pos").collect()}
+    assert got == {f"suplier-{i:06d}": (f"supplier-{i:06d}", 1) for i in range(0, 1500, 5)}
 
 
 def test_nearest_ties_go_to_the_first_option(spark):
-    check_nearest(spark, ["bat"], ["cat", "BAT2", "hat", "rat"], 1000)
-    check_nearest(spark, ["bat"], ["cat", "BAT2", "hat", "rat"], 0)
+    check_nearest(spark, ["bat"], ["cat", "BAT2", "hat", "rat"])
 
 
 def test_row_numbers_and_previous_with_a_hot_key(spark):
