@@ -1,7 +1,6 @@
 """Accent folding and English suffix stripping for search terms.
 
-Run over the *distinct* terms of a collection through an Arrow UDF; the text itself never goes
-through Python.
+Run over the distinct terms of a row through an Arrow function; the text itself never goes through Python.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 # Suffix pairs of the published Porter (1980) algorithm, steps 2, 3 and 4.
 STEP_2 = [
@@ -126,7 +125,20 @@ def fold(word: str) -> str:
     return "".join(ch for ch in parts if not unicodedata.combining(ch))
 
 
-@F.pandas_udf(StringType())
-def search_form(words: pd.Series) -> pd.Series:
-    """Folded and stemmed form of each term."""
-    return words.map(lambda w: None if w is None else stem(fold(w)))
+_FORMS: dict[str, str] = {}
+_MOST_FORMS = 500_000  # remembered by a worker before it starts over
+
+
+def _form(word: str) -> str:
+    form = _FORMS.get(word)
+    if form is None:
+        if len(_FORMS) >= _MOST_FORMS:
+            _FORMS.clear()
+        form = _FORMS[word] = stem(fold(word))
+    return form
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def search_forms(words: pd.Series) -> pd.Series:
+    """The distinct folded and stemmed forms of each list of terms; a worker stems a term once."""
+    return words.map(lambda row: None if row is None else list(dict.fromkeys(map(_form, row))))

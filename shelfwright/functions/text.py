@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 from shelfwright import fixed_values as fixed
@@ -36,10 +38,16 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), OUTSIDE_TOKENS + "+"), "")
 
 
+def token_list(text: str) -> list[str]:
+    """The tokens of a query text, as :func:`tokens` finds them in a column."""
+    kept = "".join(c if unicodedata.category(c)[0] in "LNM" else " " for c in text.lower())
+    return kept.split()
+
+
 def has_token(text: Column, token: str, prefix: bool = False) -> Column:
-    """The text has this token, or one that starts with it. Same tokens as :func:`tokens`, found
+    """The text has this token, whatever its case, or one that starts with it. Same tokens as :func:`tokens`, found
     without splitting the text; the substring test drops most texts before the pattern runs."""
-    folded = F.lower(text)
+    folded, token = F.lower(text), token.lower()
     end = "" if prefix else rf"(?:\z|{OUTSIDE_TOKENS})"
     return F.contains(folded, F.lit(token)) & folded.rlike(rf"(?:\A|{OUTSIDE_TOKENS})\Q{token}\E{end}")
 

@@ -52,23 +52,16 @@ def video_url_error(value: Column) -> Column:
     )
 
 
-def extract_urls(docs: DataFrame, keys: list[str], doc: str, depth: int) -> DataFrame:
+# a key of a URL field with a text value, in compact JSON: an unescaped quote opens a string only there
+_FIELD = r'(?<!\\)"(?:' + "|".join(URL_FIELDS) + r')":"((?:[^"\\]|\\.)*+)"'
+
+
+def extract_urls(docs: DataFrame, keys: list[str], doc: str) -> DataFrame:
     """``(keys, url)`` of every http(s) string under a URL field of a VARIANT, each once per document.
 
-    ``depth`` is the number of levels the model has; a level of a list counts like one of a map.
+    The fields are found in the compact JSON text of the document, at any depth and in one pass.
     """
-    explode = docs.sparkSession.tvf.variant_explode_outer
-    rows = docs.select(*keys, F.lit(None).cast("string").alias("_key"), F.col(doc).alias("_node"))
-    for _ in range(depth):
-        # one level of every map and list is opened; what is neither stays as it is
-        nested = F.schema_of_variant("_node").rlike("^(OBJECT|ARRAY)")
-        opened = rows.lateralJoin(explode(F.when(nested, F.col("_node")).outer()))
-        rows = opened.select(
-            *keys,
-            F.when(nested, F.col("key")).otherwise(F.col("_key")).alias("_key"),
-            F.when(nested, F.col("value")).otherwise(F.col("_node")).alias("_node"),
-        )
-    is_text = F.schema_of_variant("_node") == "STRING"
-    text = F.try_variant_get("_node", "$", "string")
-    urls = rows.where(F.col("_key").isin(URL_FIELDS) & is_text & is_http(text))
-    return urls.select(*keys, text.alias("url")).distinct()
+    found = F.regexp_extract_all(F.to_json(doc), F.lit(_FIELD), F.lit(1))
+    texts = F.from_json(F.concat(F.lit('["'), F.array_join(found, '","'), F.lit('"]')), "array<string>")
+    urls = F.array_distinct(F.filter(F.when(F.size(found) > 0, texts), is_http))
+    return docs.select(*keys, F.explode(urls).alias("url")).distinct()

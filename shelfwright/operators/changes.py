@@ -6,29 +6,48 @@ tables as a full rebuild.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwright import fixed_values as fixed
 from shelfwright.functions.keys import content_hash, opaque_id
+from shelfwright.session import durable
 
 ADDED, MODIFIED, DELETED = "added", "modified", "deleted"
+MOST_ROUNDS = 64
+
+
+def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join on keys that may be NULL; the key columns of ``left`` stay, those of ``right`` go."""
+    names = {k: f"_right_{k}" for k in keys}
+    right = right.withColumnsRenamed(names)
+    same = F.lit(True)
+    for k, renamed in names.items():
+        same = same & left[k].eqNullSafe(right[renamed])
+    joined = left.join(right, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*names.values())
 
 
 def classify(base: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, op)`` of every row that was added, modified or deleted. Only keys and fingerprints
-    are shuffled."""
+    are shuffled. NULL is a key value like any other."""
 
-    def fingerprint(df: DataFrame, name: str) -> DataFrame:
+    def fingerprint(df: DataFrame, side: str) -> DataFrame:
         values = sorted(c for c in df.columns if c not in keys)
-        return df.select(*keys, content_hash(*values).alias(name))
-
-    both = fingerprint(base, "_old").join(fingerprint(current, "_new"), keys, "full_outer")
+        named = [F.col(k).alias(f"_{side}_{k}") for k in keys]
+        return df.select(*named, content_hash(*values).alias(f"_{side}"), F.lit(True).alias(f"_in_{side}"))
+
+    old, new = fingerprint(base, "old"), fingerprint(current, "new")
+    same = F.lit(True)
+    for k in keys:
+        same = same & old[f"_old_{k}"].eqNullSafe(new[f"_new_{k}"])
+    both = old.join(new, same, "full_outer")
     op = (
-        F.when(F.col("_old").isNull(), F.lit(ADDED))
-        .when(F.col("_new").isNull(), F.lit(DELETED))
+        F.when(F.col("_in_old").isNull(), F.lit(ADDED))
+        .when(F.col("_in_new").isNull(), F.lit(DELETED))
         .when(F.col("_old") != F.col("_new"), F.lit(MODIFIED))
     )
-    return both.select(*keys, op.alias("op")).where(F.col("op").isNotNull())
+    key = [F.when(F.col("_in_new").isNull(), F.col(f"_old_{k}")).otherwise(F.col(f"_new_{k}")).alias(k) for k in keys]
+    return both.select(*key, op.alias("op")).where(F.col("op").isNotNull())
 
 
 def change_set(base: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
@@ -36,12 +55,12 @@ def change_set(base: DataFrame, current: DataFrame, keys: list[str]) -> DataFram
     ops = classify(base, current, keys)
     values = [c for c in current.columns if c not in keys]
     rows = current.select(*keys, F.struct(*values).alias("payload"))
-    return ops.join(rows, keys, "left")
+    return matched(ops, rows, keys, "left")
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Base rows that are untouched plus the new rows of the change-set."""
-    kept = base.join(changes.select(*keys), keys, "left_anti")
+    kept = matched(base, changes.select(*keys), keys, "left_anti")
     new = changes.where(F.col("op") != DELETED).select(*keys, "payload.*")
     return kept.unionByName(new.select(*base.columns))
 
@@ -80,34 +99,32 @@ def apply_order(collection: Column, order: list[str] = fixed.COLLECTIONS) -> Col
 def assign_ids(df: DataFrame, id_: str, parts: list[str]) -> DataFrame:
     """Rows with every missing id filled in; ``assigned`` tells which.
 
-    Ids come from the natural key. When one is already taken the salt is raised for the colliding
-    rows only, until none collides.
+    Ids come from the natural key, of which any part may be NULL. Rows that repeat a natural key are
+    numbered, by their content, and the number is one more part from the second row on. When an id is already taken the salt is
+    raised for the colliding rows only; each round is cut with a checkpoint, and ``MOST_ROUNDS`` rounds without an end are an error.
     """
     missing = df.where(F.coalesce(id_, F.lit("")) == "")
     kept = df.where(F.coalesce(id_, F.lit("")) != "").withColumn("assigned", F.lit(False))
     taken = kept.select(F.col(id_).alias("_taken"))
-    key = [F.col(p).cast("string") for p in parts]
-    salt = 0
+    # a natural key names one entity, so these groups hold one row, or a few by mistake
+    repeat = F.row_number().over(Window.partitionBy(*parts).orderBy(content_hash(*df.columns)))
+    missing = durable(missing.withColumn("_repeat", repeat))
+    again = F.when(F.col("_repeat") > 1, F.col("_repeat").cast("string"))
+    key = [*[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts], again]
+    rank = F.struct(*parts, "_repeat")
     filled = None
-    while True:
+    for salt in range(MOST_ROUNDS):
         candidate = missing.withColumn(id_, opaque_id(*key, salt=salt))
         free = candidate.join(taken, F.col(id_) == F.col("_taken"), "left_anti")
-        # two entities never share a natural key, so within a round candidates differ unless the
-        # hash collides; the first in key order keeps the id
-        winners = free.groupBy(id_).agg(F.min(F.struct(*parts)).alias("_winner"))
-        won = free.join(
-            winners.select(F.col(id_).alias("_id"), "_winner"),
-            (F.col(id_) == F.col("_id")) & (F.struct(*parts) == F.col("_winner")),
-            "left_semi",
-        )
+        # within a round candidates differ unless the hash collides; the first in key order keeps the id
+        winners = free.groupBy(F.col(id_).alias("_id")).agg(F.min(rank).alias("_winner"))
+        won = durable(free.join(winners, (F.col(id_) == F.col("_id")) & rank.eqNullSafe(F.col("_winner")), "left_semi"))
         filled = won if filled is None else filled.unionByName(won)
-        lost = candidate.join(won.select(*parts), parts, "left_anti")
-        if lost.isEmpty():
-            break
+        missing = durable(matched(missing, won.select(*parts, "_repeat"), [*parts, "_repeat"], "left_anti"))
+        if missing.isEmpty():
+            return kept.unionByName(filled.drop("_repeat").withColumn("assigned", F.lit(True)))
         taken = taken.unionByName(won.select(F.col(id_).alias("_taken")))
-        missing = lost.withColumn(id_, F.lit(None).cast("string"))
-        salt += 1
-    return kept.unionByName(filled.withColumn("assigned", F.lit(True)))
+    raise RuntimeError(f"ids of some rows collide after {MOST_ROUNDS} salts")
 
 
 def rekey(df: DataFrame, id_: str, parts: list[str]) -> DataFrame:

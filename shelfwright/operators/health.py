@@ -56,14 +56,15 @@ def prune(cache: DataFrame, as_of: Column) -> DataFrame:
 
 
 def lookup(urls: DataFrame, cache: DataFrame, as_of: Column) -> DataFrame:
-    """URLs with their cached result; ``needs_check`` where there is none that is still valid."""
-    fresh = prune(cache, as_of).withColumn("_hit", F.lit(True))
+    """URLs with their latest cached result; ``needs_check`` where there is none that is still valid."""
+    latest = latest_per_key(cache, "url", ["last_checked"])
+    fresh = prune(latest, as_of).withColumn("_hit", F.lit(True))
     joined = urls.join(fresh, "url", "left")
     return joined.withColumn("needs_check", F.col("_hit").isNull()).drop("_hit")
 
 
 def broken(cache: DataFrame, as_of: Column) -> DataFrame:
-    return prune(cache, as_of).where(is_broken(F.col("status")))
+    return prune(latest_per_key(cache, "url", ["last_checked"]), as_of).where(is_broken(F.col("status")))
 
 
 def cache_stats(cache: DataFrame, as_of: Column) -> DataFrame:

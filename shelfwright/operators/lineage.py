@@ -45,7 +45,7 @@ def follow(edges: DataFrame) -> DataFrame:
     )
     standing = -1
     while True:
-        walk = durable(walk, eager=False)
+        walk = durable(walk)
         before, standing = standing, walk.where("loops").agg(F.count_distinct("last")).first()[0]
         if standing in (0, before):
             return walk.withColumn("depth", F.when(~F.col("loops"), F.col("depth")))
@@ -78,12 +78,9 @@ def cycles(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     from the smallest node of the cycle, which also names it. The closed path reported for a start
     is its cycle read from ``entry`` round to ``entry`` again; kept as rows, its size stays linear.
     """
-    walked = follow(edges)
-    looping = walked.where("loops")
-    on_cycle = durable(looping.select(F.col("last").alias("node")).distinct())
-    inner = edges.join(on_cycle, "node", "left_semi")
-
-    members = durable(_places(inner))
+    looping = follow(edges).where("loops")
+    on_cycle = _on_cycle(looping)
+    members = durable(_places(edges.join(on_cycle, "node", "left_semi")))
     # cut the cycles open: now every tail is a chain that ends on its entry node
     tails = edges.join(looping.select("node"), "node", "left_semi").join(on_cycle, "node", "left_anti")
     entered = follow(tails).select("node", F.col("last").alias("entry"), F.col("depth").alias("steps"))
@@ -94,20 +91,31 @@ def cycles(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return at_once.unionByName(entered).join(names, "entry"), members
 
 
+def _on_cycle(looping: DataFrame) -> DataFrame:
+    return durable(looping.select(F.col("last").alias("node")).distinct())
+
+
+def cycle_members(edges: DataFrame) -> DataFrame:
+    """``(cycle, position, node, length)`` of all cycles, without the nodes that lead into them."""
+    on_cycle = _on_cycle(follow(edges).where("loops"))
+    return _places(edges.join(on_cycle, "node", "left_semi"))
+
+
 def _places(inner: DataFrame) -> DataFrame:
     """``(cycle, position, node, length)`` of the nodes on cycles.
 
     Each node knows the smallest node among the ``span`` nodes that start with it, and how far ahead
-    that is. Doubling the span past the number of nodes gives the name of the cycle and the distance
-    to it, hence the position.
+    that is. Doubling the span past the length of the cycle gives the name of the cycle and the distance
+    to it, hence the position. A round that renames no node has seen every cycle whole, so rounds follow the
+    longest cycle, not the number of nodes.
     """
     state = durable(
         inner.select(
             "node", F.col("next").alias("jump"), F.col("node").alias("cycle"), F.lit(0).cast("bigint").alias("ahead")
         )
     )
-    span, total = 1, state.count()
-    while span < total:
+    span, renamed = 1, True
+    while renamed:
         further = state.select(
             F.col("node").alias("_node"), F.col("jump").alias("_jump"), F.col("cycle").alias("_cycle"),
             F.col("ahead").alias("_ahead"),
@@ -119,8 +127,11 @@ def _places(inner: DataFrame) -> DataFrame:
                 F.col("_jump").alias("jump"),
                 F.when(smaller, F.col("_cycle")).otherwise(F.col("cycle")).alias("cycle"),
                 F.when(smaller, F.col("_ahead") + span).otherwise(F.col("ahead")).alias("ahead"),
+                smaller.alias("renamed"),
             )
         )
+        renamed = not state.where("renamed").isEmpty()
+        state = state.drop("renamed")
         span *= 2
     sizes = state.groupBy("cycle").agg(F.count("*").alias("length"))
     position = (F.col("length") - F.col("ahead")) % F.col("length")

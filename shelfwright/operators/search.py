@@ -10,8 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwright.functions.stemming import fold, search_form, stem
-from shelfwright.functions.text import has_token, tokens
+from shelfwright.functions.stemming import fold, search_forms, stem
+from shelfwright.functions.text import has_token, token_list, tokens
 
 BUCKETS = 256
 
@@ -40,34 +40,25 @@ def plain_postings(docs: DataFrame, doc: str, fields: list[str]) -> DataFrame:
     )
 
 
-def vocabulary(postings: DataFrame) -> DataFrame:
-    """Distinct terms with the form they are searched by.
-
-    The terms are few bytes but much work, so they are spread over all cores; left to itself,
-    adaptive execution would put a small vocabulary into one task.
-    """
-    spark = postings.sparkSession
-    width = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    terms = postings.select("term").distinct().repartition(width, "term")
-    return terms.withColumn("form", search_form("term"))
-
-
 def stemmed_postings(docs: DataFrame, doc: str, fields: list[str]) -> DataFrame:
-    """Postings by search form. Python sees every distinct term once, never the text.
-
-    Words of one document that share a form give one posting, so the pairs are made distinct again.
-    """
-    plain = plain_postings(docs, doc, fields)
+    """Postings by search form. Distinct tokens of a row go through one Arrow function and come back as
+    distinct forms, so nothing is shuffled."""
+    per_field = F.array(
+        *[
+            F.struct(F.lit(f).alias("field"), search_forms(F.array_distinct(tokens(F.col(f)))).alias("terms"))
+            for f in fields
+        ]
+    )
     return (
-        plain.join(vocabulary(plain), "term")
-        .select(F.col("form").alias("term"), "doc", "field")
-        .distinct()
+        docs.select(F.col(doc).alias("doc"), F.explode(per_field).alias("part"))
+        .select("doc", "part.field", F.explode("part.terms").alias("term"))
+        .select("term", "doc", "field")
     )
 
 
-def query_terms(text: str) -> list[str]:
-    """The terms of a query, in the form a stemmed index holds them."""
-    return [stem(fold(word)) for word in text.split()]
+def query_terms(text: str, stemmed: bool = True) -> list[str]:
+    """The terms of a query, in the form that a stemmed or a plain index holds them."""
+    return [stem(fold(word)) if stemmed else word for word in token_list(text)]
 
 
 def write_index(postings: DataFrame, path: str) -> None:
@@ -83,25 +74,40 @@ def _bucket(term: Column) -> Column:
 
 
 def matching_docs(postings: DataFrame, terms: list[str], prefix: bool = False) -> DataFrame:
-    """Documents that hold all terms, in whatever fields."""
-    if prefix:
-        return postings.where(F.startswith("term", F.lit(terms[0]))).select("doc").distinct()
-    wanted = F.col("term").isin(terms)
-    if "bucket" in postings.columns:  # a stored index: read the folders of these terms only
-        wanted = wanted & F.col("bucket").isin([_bucket(F.lit(term)) for term in terms])
-    hits = postings.where(wanted).select("term", "doc").distinct()
+    """Documents that hold all terms, in whatever fields. With ``prefix`` the last term is the start of a token."""
+    exact, start = (terms[:-1], terms[-1]) if prefix else (terms, None)
+    exact = sorted(set(exact))
+    wanted = F.col("term").isin(exact)
+    if start is not None:
+        wanted = wanted | F.startswith("term", F.lit(start))
+    elif "bucket" in postings.columns:  # a stored index: read the folders of these terms only
+        wanted = wanted & F.col("bucket").isin([_bucket(F.lit(term)) for term in exact])
+    # a term that is asked for and also starts with the prefix counts for both
+    asked = F.array_compact(
+        F.array(
+            F.when(F.col("term").isin(exact), F.col("term")),
+            F.when(F.startswith("term", F.lit(start)), F.lit("")) if start is not None else F.lit(None).cast("string"),
+        )
+    )
+    hits = postings.where(wanted).select("doc", F.explode(asked).alias("asked")).distinct()
     return (
         hits.groupBy("doc")
         .agg(F.count("*").alias("_terms"))
-        .where(F.col("_terms") == len(set(terms)))
+        .where(F.col("_terms") == len(exact) + (start is not None))
         .select("doc")
     )
 
 
-def replace_docs(postings: DataFrame, changed: DataFrame, removed: DataFrame, doc: str, fields: list[str]):
-    """Postings after some documents changed and others went away; the rest is left alone."""
+def replace_docs(
+    postings: DataFrame, changed: DataFrame, removed: DataFrame, doc: str, fields: list[str], build=plain_postings
+) -> DataFrame:
+    """Postings after some documents changed and others went away; the rest is left alone. ``build`` is what
+    built the index, ``plain_postings`` or ``stemmed_postings``; a stored index keeps its buckets."""
     touched = changed.select(F.col(doc).alias("doc")).unionByName(
         removed.select(F.col(doc).alias("doc"))
     )
     kept = postings.join(touched.distinct(), "doc", "left_anti")
-    return kept.unionByName(plain_postings(changed, doc, fields))
+    new = build(changed, doc, fields)
+    if "bucket" in postings.columns:
+        new = new.withColumn("bucket", _bucket(F.col("term")))
+    return kept.unionByName(new.select(*kept.columns))

@@ -70,8 +70,7 @@ def lineage_cycles(t):
     """
 )
 def lineage_cycle_members(t):
-    _, members = lineage.cycles(_rings(t))
-    return members
+    return lineage.cycle_members(_rings(t))
 
 
 @query(

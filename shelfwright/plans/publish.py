@@ -121,7 +121,7 @@ def publish(docs: DataFrame, vocabulary: Vocabulary, version: str, as_of: Column
 
     tables["locales"] = locales.withColumn("enabled", F.lit(1))
     tables["category_translations"] = spark.createDataFrame([], schemas.table_schema("category_translations"))
-    tables["catalog_meta"] = meta(spark, version, as_of)
+    tables["dataset_meta"] = meta(spark, version, as_of)
     tables["schema_migrations"] = spark.createDataFrame(
         fixed.SCHEMA_MIGRATIONS, "version int, description string, breaking_change int"
     ).withColumn("applied_at", as_of)
@@ -130,7 +130,7 @@ def publish(docs: DataFrame, vocabulary: Vocabulary, version: str, as_of: Column
 
 def _list(rows: DataFrame, key: str, values: str, name: str) -> DataFrame:
     """Flattened list; an entity holds each value once, as the key of the table demands."""
-    return reshape.explode_list(rows, [F.col("id").alias(key)], F.array_distinct(values), name)
+    return reshape.explode_list(rows, [F.col("id").alias(key)], F.array_compact(F.array_distinct(values)), name)
 
 
 def _children(rows: DataFrame, key: str, kind: str, fields: dict[str, str]) -> DataFrame:
@@ -197,10 +197,10 @@ def meta(spark, version: str, as_of: Column) -> DataFrame:
     return spark.range(1).select(F.explode(entries).alias("e")).select("e.*")
 
 
-def stamp_meta(catalog_meta: DataFrame, version: str, as_of: Column) -> DataFrame:
+def stamp_meta(dataset_meta: DataFrame, version: str, as_of: Column) -> DataFrame:
     """Metadata after a change-set was applied."""
-    new = meta(catalog_meta.sparkSession, version, as_of).where(F.col("key") != "created_at")
-    both = catalog_meta.withColumn("_at", F.lit(1)).unionByName(new.withColumn("_at", F.lit(2)))
+    new = meta(dataset_meta.sparkSession, version, as_of).where(F.col("key") != "created_at")
+    both = dataset_meta.withColumn("_at", F.lit(1)).unionByName(new.withColumn("_at", F.lit(2)))
     return latest_per_key(both, "key", ["_at"]).select("key", "value")
 
 
@@ -221,7 +221,7 @@ ROW_KEYS = {
     "software_translations": ["software_id", "locale"],
     "hardware_translations": ["hardware_id", "locale"],
     "hardware_io_translations": ["hardware_id", "locale", "original_name"],
-    "catalog_meta": ["key"],
+    "dataset_meta": ["key"],
     "schema_migrations": ["version"],
 }
 # time stamps say when a row was written, not what it says
@@ -242,7 +242,7 @@ def diff_tables(base: dict[str, DataFrame], current: dict[str, DataFrame]) -> di
         ops = cdc.classify(compared(base[table]), compared(current[table]), keys)
         values = [c for c in current[table].columns if c not in keys]
         payload = F.struct(*values) if values else F.struct(F.lit(True).alias("present"))
-        changes[table] = ops.join(current[table].select(*keys, payload.alias("payload")), keys, "left")
+        changes[table] = cdc.matched(ops, current[table].select(*keys, payload.alias("payload")), keys, "left")
     return changes
 
 

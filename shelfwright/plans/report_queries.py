@@ -266,9 +266,16 @@ def cache_stats(t):
     return health.cache_stats(_latest(t), _as_of(AS_OF))
 
 
-@query(f"WITH {_LATEST} SELECT url, status FROM latest WHERE age <= ttl_days AND (status IS NULL OR status >= 400)")
+_EARLY = "2024-01-02 00:00:00"
+
+
+@query(
+    f"WITH {_LATEST} SELECT url, status FROM latest WHERE age <= ttl_days AND (status IS NULL OR status >= 400)".replace(
+        "2024-02-02 00:00:00", _EARLY
+    )
+)
 def cache_broken(t):
-    return health.broken(_latest(t), _as_of(AS_OF)).select("url", "status")
+    return health.broken(_latest(t), _as_of(_EARLY)).select("url", "status")
 
 
 @query(
@@ -286,7 +293,8 @@ def cache_lookup(t):
 _LINK_HEALTH = f"""
     {_CHECKS}, {LINKS_SQL},
     known AS (SELECT l.url, c.status, c.redirects_to, c.error_message, c.age <= c.ttl_days AS valid
-              FROM links l JOIN cache c ON c.event_id = l.page_id),
+              FROM links l JOIN cache c ON c.event_id % (SELECT count(*) FROM pages) = l.page_id
+              QUALIFY row_number() OVER (PARTITION BY l.url ORDER BY last_checked DESC, c.event_id DESC) = 1),
     used AS (SELECT DISTINCT file, url FROM links),
     judged AS (
       SELECT u.file, u.url, {VIDEO_ERROR_SQL.replace("url", "u.url")} AS format_message, k.status, k.redirects_to, k.error_message, k.url IS NOT NULL AS hit
@@ -301,11 +309,15 @@ _LINK_HEALTH = f"""
 
 
 def _classified(t):
-    """Links of the pages; the check with the number of the page is the cached result of its link."""
-    stamped = _stamped(t).drop("url")
-    cache = links(t).join(stamped, F.col("page_id") == F.col("event_id")).select(
-        "url", "last_checked", "status", "redirects_to", "error_message", "ttl_days"
-    )
+    """Links of the pages; the checks are dealt out to the pages' links by their number."""
+    pages = t.pages.agg(F.count("*")).scalar()
+    stamped = _stamped(t).drop("url").withColumn("page_id", F.col("event_id") % pages)
+    checks = links(t).join(stamped, "page_id")
+    cache = rel.latest_per_key(
+        checks.select("url", "last_checked", "event_id", "status", "redirects_to", "error_message", "ttl_days"),
+        "url",
+        ["last_checked", "event_id"],
+    ).drop("event_id")
     return health.classify_links(links(t), cache, _as_of("2024-01-02 00:00:00"))
 
 

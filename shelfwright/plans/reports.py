@@ -9,9 +9,6 @@ from shelfwright.operators import changes as cdc, coverage, freshness as fresh,
 from shelfwright.operators.relational import union_collections
 from shelfwright.sources import documents as src
 
-# the deepest URL of the model: revisions, element, versions, element, links, element, url
-URL_DEPTH = 7
-
 
 def _entries(docs: DataFrame) -> DataFrame:
     columns = ["slug", "path", "name", "prices", "verification"]
@@ -47,9 +44,7 @@ def identifier_analysis(docs: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame) -> DataFrame:
     """``(file, url)`` of every URL of every document, each once per document."""
-    return extract_urls(
-        src.readable(docs).select(F.col("path").alias("file"), "doc"), ["file"], "doc", URL_DEPTH
-    )
+    return extract_urls(src.readable(docs).select(F.col("path").alias("file"), "doc"), ["file"], "doc")
 
 
 def link_health(docs: DataFrame, cache: DataFrame, as_of: Column) -> DataFrame:

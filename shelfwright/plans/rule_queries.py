@@ -384,7 +384,8 @@ def url_rules(t):
     WITH used AS (
       SELECT page_id, url FROM pages
       UNION SELECT page_id, replace(url, 'http:', 'https:') FROM pages
-      UNION SELECT page_id, 'http://' || page_id || '.example.org' FROM pages)
+      UNION SELECT page_id, 'http://' || page_id || '.example.org' FROM pages
+      UNION SELECT page_id, replace(url, 'http', 'http://deep\') FROM pages)
     SELECT page_id, url FROM used
     """
 )
@@ -392,6 +393,9 @@ def nested_url_extract(t):
     """Pages packed into nested JSON: a URL on top, in a list of lists, and one that is no URL field."""
     secure = F.replace("url", F.lit("http:"), F.lit("https:"))
     own = F.concat(F.lit("http://"), F.col("page_id").cast("string"), F.lit(".example.org"))
+    deep = F.struct(F.replace("url", F.lit("http"), F.lit("http://deep\\"),).alias("source"))
+    for _ in range(12):
+        deep = F.array(F.struct(deep.alias("more")))
     packed = F.to_json(
         F.struct(
             F.col("url").alias("website"),
@@ -399,10 +403,11 @@ def nested_url_extract(t):
             F.array(F.struct(F.array(F.struct(secure.alias("url"), F.col("url").alias("title"))).alias("links"))).alias("revisions"),
             F.struct(own.alias("source"), F.col("url").alias("note")).alias("price"),
             F.array(F.col("url")).alias("urls"),
+            deep.alias("deep"),
         )
     )
     docs = t.pages.select("page_id", F.parse_json(packed).alias("doc"))
-    return urls.extract_urls(docs, ["page_id"], "doc", depth=6)
+    return urls.extract_urls(docs, ["page_id"], "doc")
 
 
 # ---------------------------------------------------------------- markers
@@ -514,7 +519,7 @@ def rule_id_immutable(t):
 @query(
     f"""
     WITH vocabulary AS (SELECT DISTINCT p_name AS term FROM part WHERE p_size <= 40),
-    grouped AS (SELECT p_name AS member, count(DISTINCT p_type) AS n FROM part WHERE p_size > 45 GROUP BY p_name)
+    grouped AS (SELECT p_name AS member, count(DISTINCT p_type) AS n FROM part WHERE p_size > 40 GROUP BY p_name)
     SELECT 'vocabulary' AS collection, coalesce(term, member) AS slug, 0 AS tier, 'E199' AS code, 'groups' AS path,
            CASE WHEN member IS NULL THEN 'unmapped' WHEN term IS NULL THEN 'orphan' ELSE 'multi_mapped' END AS message,
            {NOTHING}
@@ -524,7 +529,7 @@ def rule_id_immutable(t):
 )
 def rule_vocabulary_groups(t):
     vocabulary = t.part.where(F.col("p_size") <= 40)
-    grouped = t.part.where(F.col("p_size") > 45)
+    grouped = t.part.where(F.col("p_size") > 40)
     bad = refs.reconcile(vocabulary, "p_name", grouped, "p_name", "p_type")
     return fd.finding(
         bad, tier=fd.OUTSIDE_TIERS, code="E199", path="groups", message=F.col("status"),

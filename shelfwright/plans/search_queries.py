@@ -30,9 +30,7 @@ def search_prefix(t):
     """
 )
 def search_join(t):
-    postings = search.plain_postings(t.documents, "doc_id", ["text"])
-    hits = search.matching_docs(postings, ["est"], prefix=True).withColumnRenamed("doc", "doc_id")
-    found = t.documents.select("doc_id", "source").join(hits, "doc_id", "left_semi")
+    found = t.documents.where(search.has_prefix(F.col("text"), "est")).select("doc_id", "source")
     return found.join(t.labels, "doc_id").select("doc_id", "source", "quality")
 
 
@@ -47,6 +45,19 @@ def search_index_terms(t):
     return postings.groupBy("term").agg(F.count("*").alias("docs"))
 
 
+@query(
+    f"""
+    WITH held AS (SELECT doc_id, {_TOKENS} AS terms FROM documents)
+    SELECT doc_id FROM held
+    WHERE list_contains(terms, 'that') AND len(list_filter(terms, lambda t: starts_with(t, 'wit'))) > 0
+    """
+)
+def search_terms_and_prefix(t):
+    postings = search.plain_postings(t.documents, "doc_id", ["text"])
+    terms = search.query_terms("That wit", stemmed=False)
+    return search.matching_docs(postings, terms, prefix=True).withColumnRenamed("doc", "doc_id")
+
+
 @query()
 def search_stemmed(t):
     postings = search.stemmed_postings(t.documents, "doc_id", ["text", "source"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright import fixed_values as fixed, schemas
 from shelfwright.functions import dates, text, urls
-from shelfwright.functions.identifiers import invalid_identifiers
+from shelfwright.functions.identifiers import hint_for, invalid_identifiers
 from shelfwright.operators import (
     findings as fd,
     lineage,
@@ -338,7 +338,7 @@ def extra_findings(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         ),
         fd.finding(
             bad, tier=fd.SHAPE, code="E400", path=F.concat(F.lit("identifiers."), "bad.format"),
-            message=F.col("bad.error"),
+            message=F.col("bad.error"), suggestion=hint_for(F.col("bad.format")),
         ),
         fd.finding(
             missing, tier=fd.SHAPE, code="E401", path=F.concat(F.lit("identifiers."), "format"),

@@ -141,7 +141,7 @@ TABLES: dict[str, str] = {
     "translated_name string, translated_description string",
     "software_fts": _SEARCH,
     "hardware_fts": _SEARCH,
-    "catalog_meta": "key string, value string",
+    "dataset_meta": "key string, value string",
     "schema_migrations": "version int, description string, breaking_change int, applied_at timestamp",
 }
 

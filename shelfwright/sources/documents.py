@@ -8,16 +8,12 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import yaml
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwright import fixed_values as fixed, schemas
 
-try:
-    import yaml
-except ImportError:  # documents written in the JSON subset can still be read
-    yaml = None
-
 RAW = "collection string, slug string, path string, content binary"
 _PARSED = "collection string, slug string, path string, json string, error string"
 
@@ -51,8 +47,9 @@ def _loader():
 
     def mapping(loader, node):
         keys = [str(loader.construct_object(key, deep=True)) for key, _ in node.value]
+        seen = set()
         for key, (key_node, _) in zip(keys, node.value):
-            if keys.count(key) > 1:
+            if key in seen or seen.add(key):
                 raise yaml.constructor.ConstructorError(
                     None, None, f"duplicate key {key!r}", key_node.start_mark
                 )
@@ -69,14 +66,14 @@ def _to_json(content: str | bytes, loader) -> tuple[str | None, str | None]:
     try:
         if not isinstance(content, str):
             content = bytes(content).decode("utf-8", errors="replace")
-        value = json.loads(content) if loader is None else yaml.load(content, Loader=loader)
+        value = yaml.load(content, Loader=loader)
         return json.dumps(value, ensure_ascii=False, allow_nan=False), None
     except Exception as problem:  # whatever is wrong with a document becomes a finding
         return None, " ".join(str(problem).split()) or type(problem).__name__
 
 
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    loader = _loader() if yaml else None
+    loader = _loader()
     for batch in batches:
         parsed = [_to_json(content, loader) for content in batch["content"]]
         out = batch.drop(columns="content")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -43,15 +42,13 @@ class Vocabulary:
 
 
 def _list_file(folder: str, name: str, key: str):
-    path = os.path.join(folder, name)
-    if not os.path.exists(path):
-        return None
-    with open(path, encoding="utf-8") as handle:
-        content = handle.read()
-    if yaml is None:
-        import json
-
-        return json.loads(content)[key]
+    """One entry of a small configuration file in a local or a shared folder. A missing file is an error."""
+    path = f"{folder.rstrip('/')}/{name}"
+    if "://" not in path:
+        with open(path, encoding="utf-8") as handle:
+            content = handle.read()
+    else:
+        content = SparkSession.active().read.text(path, wholetext=True).first()[0]
     return yaml.load(content, Loader=_loader())[key]
 
 
@@ -66,22 +63,15 @@ def _checked_groups(groups) -> dict[str, tuple[str, ...]]:
 
 @lru_cache(maxsize=8)
 def load_vocabulary(folder: str) -> Vocabulary:
-    """The vocabulary of a folder; a file that is not there leaves the default."""
-    given: dict = {}
-    for name, key in (("categories", "categories"), ("formats", "formats"), ("platforms", "platforms")):
-        terms = _list_file(folder, f"{name}.yaml", key)
-        if terms is not None:
-            given[name] = tuple(terms)
-    aliases = _list_file(folder, "category-aliases.yaml", "aliases")
-    if aliases is not None:
-        given["aliases"] = dict(aliases)
+    """The vocabulary of a folder. Every file must be there."""
+    given: dict = {name: tuple(_list_file(folder, f"{name}.yaml", name)) for name in ("categories", "formats", "platforms")}
     locales = _list_file(folder, "locales.yaml", "locales")
-    if locales is not None:
-        given["locales"] = tuple((x["code"], x["name"], x["nativeName"]) for x in locales)
-    groups = _list_file(folder, "category-groups.yaml", "groups")
-    if groups is not None:
-        given["groups"] = _checked_groups(groups)
-    return Vocabulary(**given)
+    return Vocabulary(
+        aliases=dict(_list_file(folder, "category-aliases.yaml", "aliases")),
+        locales=tuple((x["code"], x["name"], x["nativeName"]) for x in locales),
+        groups=_checked_groups(_list_file(folder, "category-groups.yaml", "groups")),
+        **given,
+    )
 
 
 def clear_vocabulary() -> None:

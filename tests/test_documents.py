@@ -86,7 +86,7 @@ def test_all_tables_are_published_with_their_schema(published):
         "hardware": 1, "hardware_io": 3, "hardware_revisions": 2, "hardware_revision_io": 1,
         "hardware_revision_versions": 1, "hardware_revision_prices": 1, "hardware_revision_links": 1,
         "hardware_fts": 1, "hardware_translations": 1, "hardware_io_translations": 1,
-        "locales": 7, "catalog_meta": 3, "schema_migrations": 11,
+        "locales": 7, "dataset_meta": 3, "schema_migrations": 11,
     }
 
 
@@ -281,6 +281,11 @@ def test_vocabulary_files(tmp_path):
     (tmp_path / "categories.yaml").write_text("categories: [b, a]\n")
     (tmp_path / "category-aliases.yaml").write_text("aliases: {bee: b}\n")
     (tmp_path / "category-groups.yaml").write_text("groups:\n  G: [a]\n")
+    (tmp_path / "formats.yaml").write_text("formats: [f]\n")
+    (tmp_path / "platforms.yaml").write_text("platforms: [p]\n")
+    with pytest.raises(FileNotFoundError):
+        load_vocabulary(str(tmp_path))
+    (tmp_path / "locales.yaml").write_text("locales: [{code: de, name: German, nativeName: Deutsch}]\n")
     loaded = load_vocabulary(str(tmp_path))
     assert loaded.categories == ("b", "a") and loaded.aliases == {"bee": "b"} and loaded.groups == {"G": ("a",)}
     assert load_vocabulary(str(tmp_path)) is loaded
@@ -311,7 +316,7 @@ def test_change_set_equals_rebuild(spark, published, vocabulary, tmp_path):
     counts = {(r["table"], r["op"]): r["changes"] for r in pub.change_counts(changes).collect()}
     assert counts[("software_categories", "deleted")] == 1 and ("hardware", "modified") not in counts
     applied = pub.apply_tables(published, changes)
-    for name in ("software", "software_platforms", "software_categories", "software_fts", "catalog_meta", "hardware_io"):
+    for name in ("software", "software_platforms", "software_categories", "software_fts", "dataset_meta", "hardware_io"):
         columns = [c for c in current[name].columns if c not in pub.NOT_COMPARED]
         assert sorted(map(str, applied[name].select(*columns).collect())) == sorted(
             map(str, current[name].select(*columns).collect())
@@ -326,7 +331,7 @@ def test_no_changes_and_version_stamp(published):
     changes = pub.diff_tables(published, published)
     assert all(df.isEmpty() for df in (changes["software"], changes["hardware_io"], changes["software_categories"]))
     later = F.lit("2024-05-01 00:00:00").cast("timestamp")
-    stamped = dict(rows(pub.stamp_meta(published["catalog_meta"], "8", later), "key", "value"))
+    stamped = dict(rows(pub.stamp_meta(published["dataset_meta"], "8", later), "key", "value"))
     assert stamped == {"version": "8", "created_at": "2024-03-31 12:00:00", "updated_at": "2024-05-01 00:00:00"}
 
 

@@ -4,8 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from shelfwright.operators import changes as cdc, lineage, nearest, ordered, references as refs, search
+from shelfwright.operators import changes as cdc, health, lineage, nearest, ordered, references as refs, search
 from shelfwright.operators.relational import latest_per_key
+from shelfwright.session import durable
 
 
 def edit_distance(a, b):
@@ -152,6 +153,47 @@ def test_ids_avoid_the_ones_that_are_taken(spark):
     assert second["c"] == first["a"] != second["a"] and second["b"] == first["b"]
 
 
+def test_changes_with_null_keys(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (None, "k", "b"), (2, "k", "c")], "id int, part string, v string")
+    assert cdc.classify(rows, rows, ["id", "part"]).collect() == []
+    new = spark.createDataFrame([(1, None, "A"), (2, "k", "c"), (None, None, "d")], rows.schema)
+    changes = cdc.change_set(rows, new, ["id", "part"])
+    assert {(r["id"], r["part"], r["op"]) for r in changes.collect()} == {
+        (1, None, "modified"), (None, "k", "deleted"), (None, None, "added")
+    }
+    assert sorted(map(str, cdc.apply_changes(rows, changes, ["id", "part"]).collect())) == sorted(map(str, new.collect()))
+
+
+def test_ids_with_null_and_repeated_keys(spark):
+    rows = spark.createDataFrame(
+        [("c", None, None, 1), ("c", "a", None, 2), ("c", "a", None, 3), (None, None, "", 4)], "collection string, slug string, id string, n int"
+    )
+    got = cdc.assign_ids(rows, "id", ["collection", "slug"]).collect()
+    assert len(got) == 4 and len({r["id"] for r in got}) == 4 and all(len(r["id"]) == 21 for r in got)
+    again = cdc.assign_ids(rows.repartition(3), "id", ["collection", "slug"]).collect()
+    assert {(r["n"], r["id"]) for r in again} == {(r["n"], r["id"]) for r in got}
+
+
+def test_many_small_cycles_take_few_rounds(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(lineage, "durable", lambda df, eager=True: cuts.append(1) or durable(df, eager))
+    edges = spark.range(3000).select(F.col("id").alias("node"), F.expr("id - id % 3 + (id + 1) % 3").alias("next"))
+    members = lineage.cycle_members(edges).collect()
+    assert len(members) == 3000 and {r["length"] for r in members} == {3}
+    assert len(cuts) <= 10
+
+
+def test_one_answer_for_a_link_that_is_cached_twice(spark):
+    at = F.lit("2024-01-02").cast("timestamp")
+    cache = spark.sql(
+        "SELECT 'u' AS url, timestamp '2024-01-01' AS last_checked, 200 AS status, 7.0D AS ttl_days "
+        "UNION ALL SELECT 'u', timestamp '2024-01-02', 404, 7.0D"
+    )
+    urls = spark.createDataFrame([("u",), ("v",)], "url string")
+    got = {r["url"]: (r["status"], r["needs_check"]) for r in health.lookup(urls, cache, at).collect()}
+    assert got == {"u": (404, False), "v": (None, True)} and health.broken(cache, at).count() == 1
+
+
 def test_latest_per_key(spark):
     df = spark.createDataFrame([("u", 1, "old"), ("u", 3, "new"), ("v", 2, None)], "url string, at int, state string")
     got = latest_per_key(df, "url", ["at"])
@@ -184,5 +226,18 @@ def test_search_index(spark, tmp_path):
     changed = spark.createDataFrame([(2, "dim", None)], docs.schema)
     removed = docs.where("id = 1").select("id")
     after = search.replace_docs(plain, changed, removed, "id", ["name", "note"])
-    whole = search.plain_postings(changed.unionByName(docs.where("id = 3")), "id", ["name", "note"])
+    now = changed.unionByName(docs.where("id = 3"))
+    whole = search.plain_postings(now, "id", ["name", "note"])
+    assert sorted(map(str, after.select("term", "doc", "field").collect())) == sorted(map(str, whole.collect()))
+
+    # several terms and a prefix; upper case; a stemmed index that is stored and then maintained
+    assert find(plain, "oscillator", "gl", prefix=True) == [2] and find(plain, "glow", "glow", prefix=True) == [2]
+    assert find(plain, *search.query_terms("Oscillator-GLOW", stemmed=False)) == [2]
+    assert [r["id"] for r in docs.where(search.has_all_terms(F.col("name"), ["GLOW"])).collect()] == [2]
+    search.write_index(stemmed, str(tmp_path / "stemmed"))
+    kept = spark.read.parquet(str(tmp_path / "stemmed"))
+    assert find(kept, *search.query_terms("glowed oscillating")) == [1, 2]
+    after = search.replace_docs(kept, changed, removed, "id", ["name", "note"], search.stemmed_postings)
+    whole = search.stemmed_postings(now, "id", ["name", "note"])
     assert sorted(map(str, after.select("term", "doc", "field").collect())) == sorted(map(str, whole.collect()))
+    assert find(after, "dim") == [2] and find(after, *search.query_terms("glow")) == []
