@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 
 from shelfwright.llm import textcols
 from shelfwright.llm.shingles import gram_hashes, scrambled, word_hashes
+from shelfwright.session import durable
 
 WINDOW = 20
-GRAM = 8
+GRAM = 4
 BUCKET_BYTES = 2 << 20  # of text per bucket; its super-k-mers are about four times as many
 SLICE_BYTES = 8 << 20
 MOST_HOT = 1_000_000
 LEAST_HOT = 2_000
+BROADCAST_IDS = 500_000  # document keys small enough to send to all tasks
 RUN_BYTES = 40  # of text per super-k-mer, about
 
 _TOP = np.uint64(1 << 63)
@@ -137,8 +139,7 @@ def unpack(data: bytes) -> tuple[list[np.ndarray], bytes]:
 
 
 def doc_keys(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    ids = part.column("id").fill_null(np.iinfo(np.int64).max).to_numpy()
-    return ids, part.column("hash").to_numpy()
+    return part.column("id").to_numpy(), part.column("hash").to_numpy()
 
 
 def crowded_keys(picked: DataFrame, window: int, m: int, threshold: int) -> np.ndarray:
@@ -230,7 +231,7 @@ def repeated_spans(picked: DataFrame, window: int = WINDOW, m: int = GRAM, bucke
                 where = np.where(again, -1, to)
                 order = np.argsort(where, kind="stable")
                 gone = np.flatnonzero(again)
-                home = hashes[found.row[gone]] % buckets
+                home = ids[found.row[gone]] % buckets
                 gone = gone[np.argsort(home, kind="stable")]
                 home = np.sort(home)
                 names, rows = [], []
@@ -274,14 +275,24 @@ def without_repeats(
 ) -> DataFrame:
     """Per document: id, n_words, n_removed and the kept words as text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    picked = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
-    spans = (
+    largest = F.lit(np.iinfo(np.int64).max)
+    picked = docs.select(F.coalesce(F.col(id_col).cast("long"), largest).alias("id"), text.alias("text"))
+    unique = picked.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    # the hash tells texts of one id apart, and costs as much as all else that goes with a super-k-mer
+    picked = picked.withColumn("hash", F.lit(0).cast("long") if unique else F.xxhash64("text"))
+    spans = durable(
         repeated_spans(picked, window, m, bucket_bytes)
         .groupBy(F.col("id").alias("i"), F.col("hash").alias("h"))
         .agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     )
-    largest = F.lit(np.iinfo(np.int64).max)
-    joined = picked.join(spans, (F.coalesce("id", largest) == F.col("i")) & (F.col("hash") == F.col("h")), "left").select("id", "text", "spans")
+    same = (F.col("id") == F.col("i")) & (F.col("hash") == F.col("h"))
+    if spans.count() <= BROADCAST_IDS:  # only texts with spans have to meet them in a shuffle
+        keys = F.broadcast(spans.select("i", "h"))
+        whole = picked.join(keys, same, "left_anti").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+        joined = picked.join(keys, same, "left_semi").join(spans, same).select("id", "text", "hash", "spans").unionByName(whole)
+    else:
+        joined = picked.join(spans, same, "left")
+    joined = joined.select(F.nullif("id", largest).alias("id"), "text", "spans")
 
     def run(batches):
         for batch in batches:
