@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 MICROS_PER_DAY = 86_400_000_000
+YEAR_ONLY_MESSAGE = "a release date marked as a year must be four digits"
 
 
 def instant(value: Column) -> Column:

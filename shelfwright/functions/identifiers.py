@@ -34,11 +34,11 @@ def identifier_error(
     matches = _by_format(format_, patterns, lambda p: value.rlike(p))
     return (
         F.when(~has_pattern(format_, patterns), F.lit(None).cast("string"))
-        .when(empty, F.concat(F.lit("Empty "), format_, F.lit(" identifier")))
+        .when(empty, F.concat(F.lit("no value for the identifier of "), format_))
         .when(
             ~matches,
             F.concat(
-                F.lit("Invalid "), format_, F.lit(' identifier format: "'), value, F.lit('"')
+                F.lit("not an identifier of "), format_, F.lit(": '"), value, F.lit("'")
             ),
         )
     )

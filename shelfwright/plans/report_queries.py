@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from shelfwright import fixed_values as fixed
 from shelfwright.functions import dates, text, urls
 from shelfwright.operators import coverage, freshness as fresh, health, relational as rel, translations
 from shelfwright.plans.registry import query
@@ -165,7 +166,7 @@ def coverage_summary(t):
 @query(
     f"""
     WITH {_ANALYSED}
-    SELECT p_partkey, CASE WHEN list_has_any(formats, ['au', 'vst3', 'aax', 'clap']) AND len(missing) > 0 THEN 'high'
+    SELECT p_partkey, CASE WHEN list_has_any(formats, {fixed.URGENT_FORMATS}) AND len(missing) > 0 THEN 'high'
                            WHEN len(list_filter(formats, lambda f: f <> 'standalone')) > 0 THEN 'medium' ELSE 'low' END AS priority
     FROM analysed WHERE NOT has_identifiers
     """

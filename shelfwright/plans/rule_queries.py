@@ -80,7 +80,7 @@ def year_only_rule(t):
     f"""
     WITH {_DATED}
     SELECT 'orders' AS collection, o_orderkey::VARCHAR AS slug, 2 AS tier, 'E199' AS code,
-           'releaseDateYearOnly' AS path, 'releaseDateYearOnly requires releaseDate in YYYY format' AS message, {NOTHING}
+           'releaseDateYearOnly' AS path, '{dates.YEAR_ONLY_MESSAGE}' AS message, {NOTHING}
     FROM dated WHERE year_only AND NOT coalesce(regexp_full_match(day, '[0-9]{{4}}'), false)
     """
 )
@@ -88,7 +88,7 @@ def rule_year_only(t):
     bad = _dated(t).where(~dates.year_only_ok(F.col("year_only"), F.col("day")))
     return fd.finding(
         bad, tier=fd.SHAPE, code="E199", path="releaseDateYearOnly", collection=F.lit("orders"),
-        slug="o_orderkey", message="releaseDateYearOnly requires releaseDate in YYYY format",
+        slug="o_orderkey", message=dates.YEAR_ONLY_MESSAGE,
     )
 
 
@@ -250,11 +250,12 @@ ENTRIES_SQL = f"""
       FROM typed)
 """
 _HINTS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.IDENTIFIER_HINTS.items())
-_DOMAIN = r"[a-zA-Z][a-zA-Z0-9-]*(\.[a-zA-Z][a-zA-Z0-9-]*)+"
+_WITH_PATTERN = ", ".join(f"'{k}'" for k in fixed.IDENTIFIER_PATTERNS)
+_PATTERNS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.IDENTIFIER_PATTERNS.items())
 ERROR_SQL = f"""
-    CASE WHEN trim(value) = '' THEN 'Empty ' || held || ' identifier'
-         WHEN NOT regexp_full_match(value, CASE held WHEN 'aax' THEN '[A-Za-z0-9]{{4}}' WHEN 'lv2' THEN 'https?://.+' ELSE '{_DOMAIN}' END)
-         THEN 'Invalid ' || held || ' identifier format: "' || value || '"' END
+    CASE WHEN trim(value) = '' THEN 'no value for the identifier of ' || held
+         WHEN NOT regexp_matches(value, CASE held {_PATTERNS} END)
+         THEN 'not an identifier of ' || held || ': ''' || value || '''' END
 """
 
 
@@ -312,7 +313,7 @@ def rule_identifier(t):
 @query(
     f"""
     WITH {ENTRIES_SQL}, used AS (SELECT p_partkey, unnest(formats) AS format FROM entries)
-    SELECT p_partkey, format, format IN ('au', 'bundle', 'vst3', 'clap', 'aax', 'lv2') AS has_pattern,
+    SELECT p_partkey, format, format IN ({_WITH_PATTERN}) AS has_pattern,
            CASE format {_HINTS} END AS hint
     FROM used
     """
@@ -345,9 +346,9 @@ VIDEO_ERROR_SQL = """
     CASE WHEN url LIKE 'https://youtube.com/%' THEN 'use ''www.youtube.com'' instead of ''youtube.com'''
          WHEN url LIKE 'https://www.youtube.com/embed/%' THEN 'use ''/watch?v='' instead of ''/embed/'''
          WHEN url LIKE 'https://youtu.be/%' THEN 'use ''www.youtube.com/watch?v='' instead of ''youtu.be'''
-         WHEN url LIKE 'https://www.youtube.com/%' AND NOT regexp_full_match(url, 'https://www\\.youtube\\.com/watch\\?v=[A-Za-z0-9_-]+')
+         WHEN url LIKE 'https://www.youtube.com/%' AND NOT regexp_matches(url, 'VIDEO_CANONICAL')
          THEN 'must match ''https://www.youtube.com/watch?v={videoId}''' END
-"""
+""".replace("VIDEO_CANONICAL", fixed.VIDEO_CANONICAL)
 
 
 def links(t):

@@ -80,7 +80,7 @@ def _field_entries() -> Column:
         F.when(good & (wanted == "date") & ~dates.is_iso_date(text_value), _entry("E199", "invalid ISO date")),
         F.when(
             good & (wanted == "year") & ~year_ok,
-            _entry("E199", "releaseDateYearOnly requires releaseDate in YYYY format"),
+            _entry("E199", dates.YEAR_ONLY_MESSAGE),
         ),
         F.when(
             good & (wanted == "markdown") & ~text.fences_balanced(body), _entry("E302", "unclosed code block")
