@@ -53,6 +53,7 @@ def load_all() -> dict[str, Query]:
     from shelfwright.plans import (  # noqa: F401
         change_queries,
         consumer_queries,
+        document_queries,
         lineage_queries,
         reference_queries,
         report_queries,
