@@ -74,11 +74,12 @@ def grams_at(codes: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
 
 
 def squeeze(arrays: list[np.ndarray]) -> bytes:
-    """64-bit arrays in one compressed string; ascending ones take little, as differences split into byte planes."""
+    """64-bit arrays in one compressed string, as byte planes; of the first one, which ascends, the differences."""
     planes = []
-    for a in arrays:
+    for i, a in enumerate(arrays):
         a = a.astype(np.uint64)
-        planes.append(np.diff(a, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
+        a = np.diff(a, prepend=np.uint64(0)) if i == 0 else a
+        planes.append(a.view(np.uint8).reshape(-1, 8).T.tobytes())
     raw = b"".join(planes)
     return np.array([len(raw), len(arrays)], np.int64).tobytes() + pa.Codec("zstd").compress(raw, asbytes=True)
 
@@ -86,7 +87,8 @@ def squeeze(arrays: list[np.ndarray]) -> bytes:
 def expand(data: bytes) -> list[np.ndarray]:
     size, n = np.frombuffer(data, np.int64, 2).tolist()
     raw = np.frombuffer(pa.Codec("zstd").decompress(data[16:], size, asbytes=True), np.uint8).reshape(n, 8, -1)
-    return [np.cumsum(np.ascontiguousarray(a.T).view(np.uint64).ravel(), dtype=np.uint64) for a in raw]
+    arrays = [np.ascontiguousarray(a.T).view(np.uint64).ravel() for a in raw]
+    return [np.cumsum(arrays[0], dtype=np.uint64), *arrays[1:]]
 
 
 def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
