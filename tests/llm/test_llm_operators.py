@@ -8,7 +8,6 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfwright.llm import kneser_ney, minhash, mixing, queries, repetition, site_lines, superkmers, winnowing
@@ -292,4 +291,3 @@ def test_pipeline(spark, folder, docs, rows, items):
     assert {i for r in mix for i in r["doc_ids"]} <= set(kept["decontamination"])
     size = sum(len(WORDS.findall(t or "")) for t in kept["decontamination"].values())
     assert abs(sum(r["n_words"] for r in mix) - 1.5 * size) <= 64 * 4
-    assert F is not None
