@@ -96,10 +96,10 @@ def test_video_urls(spark, url, part):
 
 def test_identifiers(spark):
     cases = [
-        ("au", "com.vendor.Thing", None), ("au", "single", "Invalid"), ("au", "com.1vendor", "Invalid"),
-        ("bundle", "a.b-c", None), ("vst3", " ", "Empty"), ("clap", None, "Empty"), ("aax", "AbC1", None),
-        ("aax", "AbC", "Invalid"), ("aax", "AbC12", "Invalid"), ("lv2", "https://x", None), ("lv2", "x", "Invalid"),
-        ("vst2", "", None), ("aax", "AbC1\n", "Invalid"),
+        ("au", "com.vendor.Thing", None), ("au", "single", "not an identifier"), ("au", "com.1vendor", "not an identifier"),
+        ("bundle", "a.b-c", None), ("vst3", " ", "no value"), ("clap", None, "no value"), ("aax", "AbC1", None),
+        ("aax", "AbC", "not an identifier"), ("aax", "AbC12", "not an identifier"), ("lv2", "https://x", None), ("lv2", "x", "not an identifier"),
+        ("vst2", "", None), ("aax", "AbC1\n", "not an identifier"),
     ]
     df = spark.createDataFrame([(i, f, v) for i, (f, v, _) in enumerate(cases)], "i int, f string, v string")
     got = [r[0] for r in df.orderBy("i").select(identifiers.identifier_error(F.col("f"), F.col("v"))).collect()]
