@@ -14,6 +14,8 @@ similarity s share a table with probability (1 - (1 - s ** width) ** halves) **
 Pairs are verified on the exact shingle sets of the whole texts: linked where
 100 * intersection >= ``percent`` * union. Components come from alternating stars.
 
+Only buckets with several components are looked at again, so all tables are dealt out once. Ids are integers.
+
 Defined cases: NULL, empty and wordless texts have an empty set and are linked with nothing; a text of fewer words
 than a shingle has one shingle; rows that repeat an id are read as separate texts of one node; a row with a
 NULL id is never linked, and keeps a NULL component; other columns are ignored, or kept by ``drop_near_copies``.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwright.llm import textcols
@@ -93,34 +95,52 @@ def signatures(
 
 
 def keyed(members: DataFrame, tables: list[tuple[int, int]]) -> DataFrame:
-    """(key, id, n, comp): each member once per table."""
+    """(key, id, comp): each member once per table."""
     keys = F.array(*[F.xxhash64(F.lit(i), F.lit(j), F.get("first", F.lit(i)), F.get("second", F.lit(j))) for i, j in tables])
-    return members.select(F.explode_outer(keys).alias("key"), "id", "n", "comp")
+    return members.select(F.explode_outer(keys).alias("key"), "id", "comp")
+
 
+def shuffled_id(seed: int) -> Column:
+    """The id with low bits flipped as the bucket's key says: its minimum is a random member, and flips back."""
+    return F.col("id").bitwiseXOR(F.xxhash64(F.lit(seed), "key").bitwiseAND(F.lit((1 << 20) - 1).cast("long")))
 
-def close(n: str, m: str, percent: int):
-    """Set sizes that can still reach the similarity."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
+def few_or_all(df: DataFrame, limit: int) -> DataFrame:
+    """A durable copy, marked for broadcast while it has at most ``limit`` rows."""
+    df = durable(df)
+    return F.broadcast(df) if df.count() <= limit else df
 
-def leader_pairs(rows: DataFrame, percent: int, seed: int) -> DataFrame:
+
+def leader_pairs(rows: DataFrame, seed: int) -> DataFrame:
     """(a, b): the members of each bucket with the bucket's leader."""
-    lead = rows.groupBy(F.col("key").alias("k")).agg(
-        F.min_by(F.struct("id", "n"), F.xxhash64(F.lit(seed), "key", "id")).alias("lead"), F.count("*").alias("size")
-    )
-    met = rows.join(lead.filter("size > 1"), F.col("key") == F.col("k")).filter(F.col("id") != F.col("lead.id"))
-    return ordered(met.filter(close("n", "lead.n", percent)).select("id", F.col("lead.id").alias("other")))
+    lead = rows.groupBy(F.col("key").alias("k")).agg(F.min(shuffled_id(seed)).alias("lead"), F.count("*").alias("size"))
+    met = rows.join(lead.filter("size > 1"), F.col("key") == F.col("k"))
+    flip = shuffled_id(seed).bitwiseXOR(F.col("id"))
+    return ordered(met.select("id", F.col("lead").bitwiseXOR(flip).alias("other")).filter("id <> other"))
 
 
-def component_pairs(rows: DataFrame, percent: int, seed: int) -> DataFrame:
+def crowded_rows(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component. Durable."""
+    spread = rows.groupBy(F.col("key").alias("q")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    crowded = few_or_all(spread.filter("lo <> hi").select("q"), BROADCAST_IDS)
+    return durable(rows.join(crowded, F.col("key") == F.col("q"), "left_semi"))
+
+
+def component_pairs(rows: DataFrame, seed: int) -> DataFrame:
     """(a, b): the members of each bucket with one member of every other component in it."""
-    lead = rows.groupBy(F.col("key").alias("k"), F.col("comp").alias("c")).agg(
-        F.min_by(F.struct("id", "n"), F.xxhash64(F.lit(seed), "key", "id")).alias("lead")
+    lead = rows.groupBy(F.col("key").alias("k"), F.col("comp").alias("c")).agg(F.min(shuffled_id(seed)).alias("lead"))
+    met = rows.join(lead, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("c")))
+    flip = shuffled_id(seed).bitwiseXOR(F.col("id"))
+    return ordered(met.select("id", F.col("lead").bitwiseXOR(flip).alias("other")))
+
+
+def of_close_sizes(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose set sizes can still reach the similarity. Durable."""
+    sizes = members.select("id", "n")
+    both = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("x")), "a").join(
+        sizes.select(F.col("id").alias("b"), F.col("n").alias("y")), "b"
     )
-    crowded = rows.groupBy(F.col("key").alias("q")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("q")
-    lead = lead.join(crowded, F.col("k") == F.col("q"), "left_semi")
-    met = rows.join(lead, F.col("key") == F.col("k")).filter(F.col("comp") != F.col("c"))
-    return ordered(met.filter(close("n", "lead.n", percent)).select("id", F.col("lead.id").alias("other")))
+    return durable(both.filter(100 * F.least("x", "y") >= percent * F.greatest("x", "y")).select("a", "b"))
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -185,16 +205,17 @@ def near_components(
     copied = durable(whole.select("id", "n", "f1", "f2").join(copies, same).select("id", "rep"))
     members = durable(whole.join(copied.filter("id = rep").select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"]).withColumn("comp", F.col("id")))
 
-    pairs = durable(leader_pairs(keyed(members, [(i, i) for i in range(halves)]), percent, seed))
+    pairs = of_close_sizes(leader_pairs(keyed(members, [(i, i) for i in range(halves)]), seed), members, percent)
     members = relabelled(members, verified(pairs, docs, id_col, text_col, shingle, percent))
-    everywhere = [(i, j) for i in range(halves) for j in range(halves)]
+    rows = crowded_rows(keyed(members, [(i, j) for i in range(halves) for j in range(halves)]))
     turn = 1
-    while True:
-        pairs = durable(component_pairs(keyed(members, everywhere), percent, seed + turn))
+    while not rows.isEmpty():
+        pairs = of_close_sizes(component_pairs(rows, seed + turn), members, percent)
         links = verified(pairs, docs, id_col, text_col, shingle, percent)
         if links.isEmpty():
             break
         members = relabelled(members, links)
+        rows = crowded_rows(rows.drop("comp").join(members.select("id", "comp"), "id").select("key", "id", "comp"))
         turn += 1
 
     linked = copied.join(members.select(F.col("id").alias("rep"), "comp"), "rep").select(F.col("id").alias("i"), F.col("comp").alias("c"))
