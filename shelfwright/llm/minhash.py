@@ -7,9 +7,9 @@ similarity s share a table with probability (1 - (1 - s ** width) ** halves) **
 
 1. Documents with equal sets become one (by a 128-bit fingerprint of the set, and its size).
 2. Tables (i, i): each document of a bucket is paired with one leader, drawn at random per bucket.
-3. All tables: each document of a bucket is paired with one document of every other component in the bucket, drawn
-   anew per bucket; repeated until nothing is linked any more. A bucket inside one component makes no pair, so
-   a bucket of g documents in c components makes at most g * c pairs instead of all.
+3. All tables: for any two components in a bucket, the documents of the smaller one are paired with one document of the
+   larger one, drawn anew per bucket; repeated until nothing is linked any more. A bucket inside one component makes
+   no pair, and the members of a large component meet none of the few beside it.
 
 Pairs are verified on the exact shingle sets of the whole texts: linked where
 100 * intersection >= ``percent`` * union. Components come from alternating stars.
@@ -127,9 +127,16 @@ def crowded_rows(rows: DataFrame) -> DataFrame:
 
 
 def component_pairs(rows: DataFrame, seed: int) -> DataFrame:
-    """(a, b): the members of each bucket with one member of every other component in it."""
-    lead = rows.groupBy(F.col("key").alias("k"), F.col("comp").alias("c")).agg(F.min(shuffled_id(seed)).alias("lead"))
-    met = rows.join(lead, (F.col("key") == F.col("k")) & (F.col("comp") != F.col("c")))
+    """(a, b): for any two components in a bucket, the members of the smaller one with one member of the larger."""
+    lead = durable(
+        rows.groupBy(F.col("key").alias("k"), F.col("comp").alias("c")).agg(
+            F.min(shuffled_id(seed)).alias("lead"), F.count("*").alias("size")
+        )
+    )
+    own = lead.select(F.col("k").alias("own_key"), F.col("c").alias("own_comp"), F.col("size").alias("own_size"))
+    sized = rows.join(own, (F.col("key") == F.col("own_key")) & (F.col("comp") == F.col("own_comp")))
+    smaller = (F.col("own_size") < F.col("size")) | ((F.col("own_size") == F.col("size")) & (F.col("comp") < F.col("c")))
+    met = sized.join(lead, (F.col("key") == F.col("k")) & smaller)
     flip = shuffled_id(seed).bitwiseXOR(F.col("id"))
     return ordered(met.select("id", F.col("lead").bitwiseXOR(flip).alias("other")))
 
