@@ -322,7 +322,12 @@ def mixed(
         lo, hi = F.greatest(F.lit(0), b * block - first), F.least(F.col("size"), (b + 1) * block - first)
         return F.struct(
             b.alias("block"),
-            F.struct((first + lo).alias("at"), F.col("id"), F.slice("words", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("words")).alias("piece"),
+            F.struct(
+                (first + lo).alias("at"),
+                F.col("id"),
+                (hi - lo).alias("n"),
+                F.array_join(F.slice("words", (lo + 1).cast("int"), (hi - lo).cast("int")), " ").alias("text"),
+            ).alias("piece"),
         )
 
     cut = F.transform(F.sequence(F.floor(first / block), F.floor((stop - 1) / block)), piece)
@@ -340,9 +345,7 @@ def mixed(
             F.get(F.array(*[F.lit(t["source"]).cast("string") for t in table] or [F.lit(None).cast("string")]), F.col("of")).alias(source_col),
             "block",
             F.transform("pieces", lambda x: x["id"]).alias(f"{id_col}s"),
-            F.flatten(F.transform("pieces", lambda x: x["words"])).alias("words"),
+            F.array_join(F.transform("pieces", lambda x: x["text"]), " ").alias(text_col),
+            F.aggregate("pieces", F.lit(0).cast("long"), lambda n, x: n + x["n"]).alias("n_words"),
         )
-        .select("*", F.size("words").alias("n_words"))
-        .withColumn("words", F.array_join("words", " "))
-        .withColumnRenamed("words", text_col)
     )
