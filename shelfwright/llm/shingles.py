@@ -10,6 +10,7 @@ from shelfwright.llm import textcols
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _POWERS = np.ones(64, np.uint64)
+AT_ONCE = 1 << 20
 
 
 def scrambled(x: np.ndarray) -> np.ndarray:
@@ -30,9 +31,19 @@ def powers(n: int) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range (ascending, not empty, not overlapping)."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of each byte range (ascending, not empty, not overlapping), some ``AT_ONCE`` bytes at a time."""
+    hashes = np.empty(len(starts), np.uint64)
+    total = np.cumsum(ends - starts)
+    first = 0
+    while first < len(starts):
+        done = int(total[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(total, done + AT_ONCE, "right")))
+        hashes[first:last] = _hashes(data, starts[first:last], ends[first:last])
+        first = last
+    return hashes
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     lengths = ends - starts
     first = np.cumsum(lengths) - lengths
     within = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
