@@ -8,8 +8,12 @@ similarity s share a table with probability (1 - (1 - s ** width) ** halves) **
 1. Documents with equal sets become one (by a 128-bit fingerprint of the set, and its size).
 2. Tables (i, i): each document of a bucket is paired with one leader, drawn at random per bucket.
 3. All tables: for any two components in a bucket, the documents of the smaller one are paired with one document of the
-   larger one, drawn anew per bucket; repeated until nothing is linked any more. A bucket inside one component makes
-   no pair, and the members of a large component meet none of the few beside it.
+   larger one, drawn anew per bucket; ``ROUNDS`` times at most. These are cheap rounds that merge most components; a
+   bucket inside one component makes no pair.
+4. All tables: in each bucket that still holds several components, any two documents of different components meet. A
+   pair goes on only if set sizes and parity bits (a bound of the symmetric difference) leave the similarity possible.
+   Both bounds are exact, so no document that shares a bucket with a similar one stays unlinked. A bucket of more
+   than ``BLOCK`` documents is dealt out as pairs of blocks.
 
 Pairs are verified on the exact shingle sets of the whole texts: linked where
 100 * intersection >= ``percent`` * union. Components come from alternating stars.
@@ -39,6 +43,9 @@ HALVES = 12
 WIDTH = 3
 SEED = 5
 BROADCAST_IDS = 500_000  # ids small enough to send to all tasks
+ROUNDS = 2  # rounds of random leaders over all tables, before all documents of a bucket meet
+PARITY_WORDS = 16  # 64-bit words of parity bits of a set
+BLOCK = 2_000  # documents of a bucket that meet in one group
 
 
 def half_keys(values: np.ndarray, bounds: np.ndarray, halves: int, width: int, seed: int) -> np.ndarray:
@@ -141,6 +148,94 @@ def component_pairs(rows: DataFrame, seed: int) -> DataFrame:
     return ordered(met.select("id", F.col("lead").bitwiseXOR(flip).alias("other")))
 
 
+def parity_bits(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per set, whether an odd number of its members fall on each bit: an array (sets, PARITY_WORDS).
+
+    The bits in which two sets differ are at most as many as the members that only one of them has.
+    """
+    bits = scrambled(values) % np.uint64(64 * PARITY_WORDS)
+    words = np.zeros((len(bounds) - 1) * PARITY_WORDS, np.uint64)
+    places = textcols.owner(bounds) * PARITY_WORDS + (bits >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(words, places, np.uint64(1) << (bits & np.uint64(63)))
+    return words.reshape(-1, PARITY_WORDS)
+
+
+def outlines(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, n, bits) of the texts of some ids: set size and parity bits. Durable."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
+
+    def run(batches):
+        for batch in batches:
+            for part in textcols.row_slices(batch, "text"):
+                values, bounds = shingle_sets(part.column("text"), shingle)
+                bits = parity_bits(values, bounds).view(np.uint8).reshape(-1, 8 * PARITY_WORDS)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array(np.diff(bounds)), pa.array([b.tobytes() for b in bits], pa.binary())],
+                    ["id", "n", "bits"],
+                )
+
+    id_type = texts.schema["id"].dataType.simpleString()
+    return durable(texts.mapInArrow(run, f"id {id_type}, n long, bits binary").filter("n > 0"))
+
+
+def pairs_in_groups(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """(a, b) for the documents of each group that differ in component and may be similar enough. Groups are in a row."""
+    group, comp, ids, n, side = (table.column(c).to_numpy() for c in ("group", "comp", "id", "n", "side"))
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, PARITY_WORDS)
+    found = []
+    at, step = np.arange(len(group)), 1
+    while True:
+        at = at[: np.searchsorted(at, len(group) - step)]
+        at = at[group[at] == group[at + step]]
+        if not len(at):
+            break
+        # side is -1 in a group of one block; of two blocks, only documents of different blocks meet
+        apart = (side[at] != side[at + step]) | (side[at] < 0)
+        x, y = n[at], n[at + step]
+        close = apart & (comp[at] != comp[at + step]) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+        i = at[close]
+        total = n[i] + n[i + step]
+        differ = np.bitwise_count(bits[i] ^ bits[i + step]).sum(axis=1, dtype=np.int64)
+        i = i[(100 + percent) * differ <= (100 - percent) * total]
+        found.append(np.stack([np.minimum(ids[i], ids[i + step]), np.maximum(ids[i], ids[i + step])], axis=1))
+        step += 1
+    both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, i]), pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+def all_pairs(rows: DataFrame, outlined: DataFrame, percent: int) -> DataFrame:
+    """(a, b): any two documents of different components in a bucket, without those that cannot be similar enough."""
+    size = rows.groupBy(F.col("key").alias("k")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    whole = rows.join(size, F.col("key") == F.col("k")).withColumn("own", F.pmod(F.xxhash64(F.lit(1), "id"), "blocks"))
+    with_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = whole.select("key", "id", "comp", "own", with_block.alias("other")).select(
+        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group"),
+        F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).cast("long").alias("side"), "id", "comp",
+    )
+    full = dealt.join(outlined, "id").select(
+        "group", "side", F.col("comp").cast("long").alias("comp"), F.col("id").cast("long").alias("id"), "n", "bits"
+    )
+    by_group = full.repartition("group").sortWithinPartitions("group")
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            group = held.column("group").to_numpy()
+            # the last group may go on in the next batch
+            done = int(np.searchsorted(group, group[-1]))
+            if done:
+                yield pairs_in_groups(held.slice(0, done), percent)
+                held = held.slice(done)
+        if held is not None:
+            yield pairs_in_groups(held, percent)
+
+    return durable(by_group.mapInArrow(run, "a long, b long").distinct())
+
+
 def of_close_sizes(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs whose set sizes can still reach the similarity. Durable."""
     sizes = members.select("id", "n")
@@ -216,7 +311,7 @@ def near_components(
     members = relabelled(members, verified(pairs, docs, id_col, text_col, shingle, percent))
     rows = crowded_rows(keyed(members, [(i, j) for i in range(halves) for j in range(halves)]))
     turn = 1
-    while not rows.isEmpty():
+    while turn <= ROUNDS and not rows.isEmpty():
         pairs = of_close_sizes(component_pairs(rows, seed + turn), members, percent)
         links = verified(pairs, docs, id_col, text_col, shingle, percent)
         if links.isEmpty():
@@ -224,6 +319,10 @@ def near_components(
         members = relabelled(members, links)
         rows = crowded_rows(rows.drop("comp").join(members.select("id", "comp"), "id").select("key", "id", "comp"))
         turn += 1
+    if not rows.isEmpty():
+        outlined = outlines(docs, few_or_all(rows.select("id").distinct(), BROADCAST_IDS), id_col, text_col, shingle)
+        links = verified(all_pairs(rows, outlined, percent), docs, id_col, text_col, shingle, percent)
+        members = relabelled(members, links)
 
     linked = copied.join(members.select(F.col("id").alias("rep"), "comp"), "rep").select(F.col("id").alias("i"), F.col("comp").alias("c"))
     # an id that several texts share belongs to the component of any of them

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -141,6 +142,26 @@ def test_near_components_without_rows_and_with_null_ids(spark, docs):
     assert {(r["doc_id"], r["component_id"]) for r in minhash.near_components(rows, shingle=2).collect()} == {(None, None), (1, 1), (2, 1)}
 
 
+@pytest.mark.parametrize("block", [2_000, 300])
+def test_edits_of_single_copies_join_a_dense_group(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block, raising=False)
+    shared = " ".join(f"t{i}" for i in range(90))
+    copies = [shared + "".join(f" c{i}x{j}" for j in range(9)) for i in range(2000)]
+    # 99 of 119 words shared with one copy, 90 of 128 with any other
+    edits = [copies[97 * e] + "".join(f" e{e}x{j}" for j in range(20)) for e in range(20)]
+    rows = spark.createDataFrame(list(enumerate(copies + edits)), "doc_id long, text string").repartition(8)
+    assert {r["component_id"] for r in minhash.near_components(rows, shingle=1).collect()} == {0}
+
+
+def test_parity_bits_bound_the_difference():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 300, size).astype(np.uint64)) for size in (1, 40, 200, 900) for _ in range(5)]
+    bits = minhash.parity_bits(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    for x, p in zip(sets, bits):
+        for y, q in zip(sets, bits):
+            assert np.bitwise_count(p ^ q).sum() <= len(np.setxor1d(x, y))
+
+
 def test_mixing_totals_and_text(docs, rows):
     got = [r.asDict() for r in mixing.taken_words(docs, block=16, shard=64).collect()]
     assert len(got) == len(rows)
