@@ -194,13 +194,12 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@register()
-def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+def scored_by_model(spark: SparkSession, folder: str, order: int) -> DataFrame:
     """Every document scored by a model of nine tenths of them."""
     from shelfwright.llm.kneser_ney import held_out, scored, train
 
     docs = table(spark, folder, "documents")
-    model = train(docs.filter(~held_out("doc_id")))
+    model = train(docs.filter(~held_out("doc_id")), order=order)
     scores = scored(docs, model).withColumn("held_out", held_out("doc_id"))
     return scores.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
@@ -208,6 +207,20 @@ def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register()
+def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored by a bigram model of nine tenths of them."""
+    from shelfwright.llm.kneser_ney import ORDER
+
+    return scored_by_model(spark, folder, ORDER)
+
+
+@register()
+def op9_kneser_ney_trigram(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document scored by a trigram model of nine tenths of them."""
+    return scored_by_model(spark, folder, 3)
+
+
 @register()
 def op2_private_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every whole document, by patterns and by the trained tagger."""

@@ -236,6 +236,14 @@ def test_trigram_model_adds_up_to_one(spark, docs):
     assert known[best] == "word5"
 
 
+def test_trigram_query_scores_by_two_words_of_context(spark, folder, docs):
+    got = {r["doc_id"]: r for r in queries.QUERIES["op9_kneser_ney_trigram"](spark, folder).collect()}
+    kept = docs.filter(~kneser_ney.held_out("doc_id"))
+    want, bigram = ({r["doc_id"]: r["score"] for r in kneser_ney.scored(docs, kneser_ney.train(kept, order=k)).collect()} for k in (3, 2))
+    assert all(math.isclose(r["score"], want[i], rel_tol=1e-9) for i, r in got.items()) and got.keys() == want.keys()
+    assert any(abs(want[i] - bigram[i]) > 1e-3 for i in want)
+
+
 def test_empty_tables(docs, items, spark):
     none = docs.limit(0)
     assert repetition.repetition_stats(none).collect() == [] and repetition.keep_quality(none).collect() == []
