@@ -243,3 +243,19 @@ def op2_private_data(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@register()
+def op11_streaming_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every whole text's tokens, and of the text they decode to."""
+    import public_tokenizers
+
+    from shelfwright.llm.transducer import encoded_texts
+
+    found = encoded_texts(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
