@@ -259,3 +259,12 @@ def op11_streaming_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@register()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every embedding on the first four components of the distinct ones, whitened."""
+    from shelfwright.llm.whitening import fit_whitening, whitened
+
+    vectors = table(spark, folder, "embeddings")
+    return whitened(vectors, fit_whitening(vectors))
