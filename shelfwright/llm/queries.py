@@ -268,3 +268,34 @@ def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
 
     vectors = table(spark, folder, "embeddings")
     return whitened(vectors, fit_whitening(vectors))
+
+
+PHRASES = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+             regexp_extract_all(unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+s AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 6) AS t(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+u AS (SELECT * FROM f WHERE k > 1 AND NOT EXISTS (
+        SELECT 1 FROM f AS o WHERE o.lang = f.lang AND o.k > f.k AND 100 * o.a >= 100 * f.a
+          AND contains(' ' || o.phrase || ' ', ' ' || f.phrase || ' '))),
+c AS (SELECT lang, phrase, a, j, array_to_string(w[1 : j], ' ') AS head, array_to_string(w[j + 1 :], ' ') AS tail
+      FROM (SELECT lang, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM u)),
+x AS (SELECT c.lang, c.phrase, c.a, j, b.a AS l, e.a AS r, n, (1000 * c.a * n) // (b.a * e.a) AS score
+      FROM c JOIN f AS b ON c.lang = b.lang AND head = b.phrase JOIN f AS e ON c.lang = e.lang AND tail = e.phrase
+        JOIN s ON c.lang = s.lang),
+y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, CAST(phrase AS BLOB)) AS rank FROM y)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score
+FROM z WHERE rank <= 2000
+"""
+
+
+@register(PHRASES)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The strongest phrases of each language."""
+    from shelfwright.llm.collocations import collocations
+
+    return collocations(table(spark, folder, "documents"))
