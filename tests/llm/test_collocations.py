@@ -23,9 +23,10 @@ def pieces(text):
 def by_brute_force(rows, least, first, share=100):
     sizes, f = Counter(), Counter()
     for lang, text in rows:
+        lang = "und" if lang is None else lang
         for w in pieces(text):
-            sizes[lang or "und"] += len(w)
-            f.update((lang or "und", tuple(w[i : i + k])) for k in range(1, 6) for i in range(len(w) - k + 1))
+            sizes[lang] += len(w)
+            f.update((lang, tuple(w[i : i + k])) for k in range(1, 6) for i in range(len(w) - k + 1))
     f = {p: a for p, a in f.items() if a >= least}
     inside = Counter()
     for (lang, p), a in f.items():
@@ -51,9 +52,12 @@ def by_brute_force(rows, least, first, share=100):
 def fixture_rows():
     draw = random.Random(2)
     vocabulary = ["the", "The", "of", "é", "日本", "a\x00b", "x-y", "new", "york", "city", "ß", "'"]
+
     def sentence():
         return " ".join(draw.choices(vocabulary, range(12, 0, -1), k=draw.randrange(1, 12)))
-    texts = ["".join(sentence() + draw.choice([" ", "\t", ". ", "\n", "!?", ",", "\x0b"]) for _ in range(draw.randrange(9))) for _ in range(80)]
+
+    ends = [" ", "\t", ". ", "\n", "!?", ",", "\x0b"]
+    texts = ["".join(sentence() + draw.choice(ends) for _ in range(draw.randrange(9))) for _ in range(80)]
     rows = [(draw.choice(["en", "en", "de", None, "und", ""]), t) for t in texts]
     rows += [("en", "new york city is big " * 30)] * 20 + [("en", "la " * 2000), ("en", None), (None, ""), ("fr", " .;\n ")]
     rows += [("de", " ".join(f"w{i % 700}" for i in range(3000)))]
