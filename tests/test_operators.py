@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwright.operators import changes as cdc, health, lineage, nearest, ordered, references as refs, search
@@ -52,6 +53,36 @@ def test_nearest_with_a_shared_prefix(spark):
     check_nearest(spark, inputs, options)
 
 
+def edited(rng, word, edits, letters):
+    for _ in range(edits):
+        i, kind = rng.randrange(len(word) + 1), rng.randrange(3)
+        word = word[:i] + (rng.choice(letters) if kind < 2 else "") + word[i + (kind > 0) :]
+    return word
+
+
+@pytest.mark.parametrize("length, shared, short", [(40, 3, 4), (203, 5, 16)])
+def test_nearest_of_long_names_with_shared_halves(spark, length, shared, short):
+    rng = random.Random(length)
+    stems = ["".join(rng.choices("abcde fgh", k=length)) for _ in range(3)]
+    options = sorted({edited(rng, rng.choice(stems), rng.randrange(9), "abxy") for _ in range(40)})
+    inputs = [edited(rng, rng.choice(options), rng.randrange(6), "abxy") for _ in range(25)] + ["z" * length]
+    asked = spark.createDataFrame([(w,) for w in inputs], "word string")
+    known = spark.createDataFrame(list(zip(options, range(len(options)))), "option string, pos int")
+    got = nearest.nearest_option(asked, "word", known, "option", "pos", shared, short)
+    assert {r["word"]: (r["suggestion"], r["distance"]) for r in got.collect()} == brute_nearest(inputs, options)
+
+
+def test_long_names_that_share_all_but_a_number_make_few_pairs(spark):
+    rng = random.Random(8)
+    stem = "name " * 37
+    options = [(f"{stem}{rng.randrange(10**12):012d} end", i) for i in range(300)]
+    terms = spark.createDataFrame([(o, i, o) for o, i in options], "_option string, _position int, _term string")
+    asked = spark.createDataFrame([(o.replace("e", "x", 1),) * 2 for o, _ in options[::15]], "_input string, _asked string")
+    assert nearest._shorter(terms.select("_term"), "_term", 1).count() <= 300 * 202
+    pairs = nearest.crowded_candidates(asked, terms, shared=64)
+    assert 20 <= pairs.count() <= 20 * 60
+
+
 def test_nearest_makes_few_pairs_of_a_dense_vocabulary(spark):
     options = [(f"supplier-{i:06d}", i) for i in range(1500)]
     terms = spark.createDataFrame([(o, i, o) for o, i in options], "_option string, _position int, _term string")
