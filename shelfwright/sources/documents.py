@@ -5,16 +5,14 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 import yaml
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwright import fixed_values as fixed, schemas
+from shelfwright.sources.document_files import read_files
 
-RAW = "collection string, slug string, path string, content binary"
 _PARSED = "collection string, slug string, path string, json string, error string"
 
 
@@ -75,44 +73,28 @@ def _to_json(content: str | bytes, loader) -> tuple[str | None, str | None]:
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     loader = _loader()
     for batch in batches:
-        parsed = [_to_json(content, loader) for content in batch["content"]]
-        out = batch.drop(columns="content")
+        unread = batch["problem"].notna()
+        parsed = [
+            (None, problem) if failed else _to_json(content, loader)
+            for content, problem, failed in zip(batch["content"], batch["problem"], unread)
+        ]
+        out = batch.drop(columns=["content", "problem"])
         out["json"] = [p[0] for p in parsed]
         out["error"] = [p[1] for p in parsed]
         yield out
 
 
-def slug_of_path(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)\.ya?ml\z", 1)
-
-
 def read_raw(spark: SparkSession, root: str, collections: list[str] = fixed.COLLECTIONS) -> DataFrame:
-    """``(collection, slug, path, content)``; a collection without a directory has no rows."""
-
-    def one(collection: str) -> DataFrame:
-        try:
-            files = (
-                spark.read.format("binaryFile")
-                .option("pathGlobFilter", "*.{yaml,yml}")
-                .load(f"{root}/{collection}")
-            )
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], RAW)
-        return files.select(
-            F.lit(collection).alias("collection"),
-            slug_of_path(F.col("path")).alias("slug"),
-            F.regexp_extract("path", r"([^/]+/[^/]+)\z", 1).alias("path"),
-            "content",
-        )
-
-    return reduce(DataFrame.unionByName, [one(c) for c in collections])
+    """``(collection, slug, path, content, problem)``; a collection without a directory has no rows."""
+    return read_files(spark, root, collections)
 
 
 def parse(raw: DataFrame) -> DataFrame:
     """Documents as JSON text and VARIANT; one that cannot be read keeps its error instead."""
-    parsed = raw.select("collection", "slug", "path", "content").mapInPandas(_parse_batches, _PARSED)
+    if "problem" not in raw.columns:
+        raw = raw.withColumn("problem", F.lit(None).cast("string"))
+    columns = ["collection", "slug", "path", "content", "problem"]
+    parsed = raw.select(*columns).mapInPandas(_parse_batches, _PARSED)
     return parsed.withColumn("doc", F.try_parse_json("json"))
 
 
