@@ -60,6 +60,7 @@ def load_all() -> dict[str, Query]:
         reshape_queries,
         rule_queries,
         search_queries,
+        storage_queries,
     )
 
     return REGISTRY

@@ -98,7 +98,7 @@ class DocumentFiles(DataSource):
         return RAW
 
     def reader(self, schema) -> DocumentReader:
-        return DocumentReader(dict(self.options))
+        return DocumentReader(self.options)
 
 
 def read_files(spark: SparkSession, root: str, collections: list[str], task_bytes: int = TASK_BYTES) -> DataFrame:
