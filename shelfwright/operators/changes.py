@@ -6,10 +6,11 @@ tables as a full rebuild.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwright import fixed_values as fixed
 from shelfwright.functions.keys import content_hash, opaque_id
+from shelfwright.operators.ordered import with_row_number
 from shelfwright.session import durable
 
 ADDED, MODIFIED, DELETED = "added", "modified", "deleted"
@@ -77,10 +78,10 @@ def cascade_delete(children: DataFrame, deleted: DataFrame, key: str) -> DataFra
 
 
 def changed_ids(base: DataFrame, current: DataFrame, keys: list[str], id_: str) -> DataFrame:
-    """Entities present in both snapshots whose id is not the same."""
+    """Entities present in both snapshots whose id is not the same. NULL is a key value like any other."""
     old = base.select(*keys, F.col(id_).alias("old_id"))
     new = current.select(*keys, F.col(id_).alias("new_id"))
-    return old.join(new, keys).where(
+    return matched(old, new, keys, "inner").where(
         F.col("old_id").isNotNull() & ~F.col("old_id").eqNullSafe(F.col("new_id"))
     )
 
@@ -88,7 +89,7 @@ def changed_ids(base: DataFrame, current: DataFrame, keys: list[str], id_: str)
 def deleted_ids(base: DataFrame, changes: DataFrame, keys: list[str], id_: str) -> DataFrame:
     """Ids of deleted entities, resolved from the old snapshot; NULL ids are left for a warning."""
     gone = changes.where(F.col("op") == DELETED).select(*keys)
-    return gone.join(base.select(*keys, id_), keys)
+    return matched(gone, base.select(*keys, id_), keys, "inner")
 
 
 def apply_order(collection: Column, order: list[str] = fixed.COLLECTIONS) -> Column:
@@ -96,6 +97,16 @@ def apply_order(collection: Column, order: list[str] = fixed.COLLECTIONS) -> Col
     return F.array_position(F.array(*[F.lit(c) for c in order]), collection)
 
 
+def numbered_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with ``_repeat``, their number among the rows of their key by content. Rows are numbered over the whole table in
+    slices, so the rows of one key (those without one, say) are spread over many tasks; a key's first number is
+    an aggregate."""
+    numbered = with_row_number(df.withColumn("_content", content_hash(*df.columns)), [*keys, "_content"], "_number")
+    first = numbered.groupBy(*keys).agg(F.min("_number").alias("_first"))
+    repeat = (F.col("_number") - F.col("_first") + 1).cast("int")
+    return matched(numbered, first, keys, "inner").withColumn("_repeat", repeat).drop("_content", "_number", "_first")
+
+
 def assign_ids(df: DataFrame, id_: str, parts: list[str]) -> DataFrame:
     """Rows with every missing id filled in; ``assigned`` tells which.
 
@@ -106,9 +117,7 @@ def assign_ids(df: DataFrame, id_: str, parts: list[str]) -> DataFrame:
     missing = df.where(F.coalesce(id_, F.lit("")) == "")
     kept = df.where(F.coalesce(id_, F.lit("")) != "").withColumn("assigned", F.lit(False))
     taken = kept.select(F.col(id_).alias("_taken"))
-    # a natural key names one entity, so these groups hold one row, or a few by mistake
-    repeat = F.row_number().over(Window.partitionBy(*parts).orderBy(content_hash(*df.columns)))
-    missing = durable(missing.withColumn("_repeat", repeat))
+    missing = durable(numbered_repeats(missing, parts))
     again = F.when(F.col("_repeat") > 1, F.col("_repeat").cast("string"))
     key = [*[F.coalesce(F.col(p).cast("string"), F.lit("")) for p in parts], again]
     rank = F.struct(*parts, "_repeat")

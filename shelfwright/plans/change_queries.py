@@ -240,3 +240,61 @@ def slug_check(t):
         F.lower(F.replace("c_name", F.lit("#"), F.lit("-")))
     )
     return t.customer.select("c_custkey", text.is_slug(name).alias("is_slug"))
+
+
+# ---------------------------------------------------------------- keys of which a part may be NULL
+
+_NULLABLE = _SNAPSHOTS + """,
+    base_2 AS (SELECT nullif(o_orderstatus, 'P') AS branch, * FROM base),
+    cur_2 AS (SELECT nullif(o_orderstatus, 'P') AS branch, * FROM cur)
+"""
+BRANCH_KEY = ["branch", "o_orderkey"]
+
+
+def _branched(orders):
+    status = F.col("o_orderstatus")
+    return orders.select(F.when(status != "P", status).alias("branch"), "*")
+
+
+@query(
+    _NULLABLE
+    + """
+    SELECT b.branch, b.o_orderkey, b.o_custkey FROM base_2 b
+    WHERE NOT EXISTS (SELECT 1 FROM cur_2 c WHERE c.o_orderkey = b.o_orderkey AND c.branch IS NOT DISTINCT FROM b.branch)
+    """
+)
+def deleted_ids_nullable(t):
+    old, new = _branched(base(t)), _branched(current(t))
+    return cdc.deleted_ids(old, cdc.classify(old, new, BRANCH_KEY), BRANCH_KEY, "o_custkey")
+
+
+@query(
+    _NULLABLE
+    + """
+    SELECT b.branch, b.o_orderkey, b.o_custkey::VARCHAR AS old_id, (c.o_custkey + 1)::VARCHAR AS new_id
+    FROM base_2 b JOIN cur_2 c ON b.o_orderkey = c.o_orderkey AND b.branch IS NOT DISTINCT FROM c.branch
+    WHERE c.o_orderpriority = '3-MEDIUM'
+    """
+)
+def changed_ids_nullable(t):
+    moved = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.col("o_custkey") + 1)
+    old = _branched(base(t)).select(*BRANCH_KEY, F.col("o_custkey").cast("string").alias("id"))
+    new = _branched(current(t)).select(*BRANCH_KEY, F.coalesce(moved, "o_custkey").cast("string").alias("id"))
+    return cdc.changed_ids(old, new, BRANCH_KEY, "id")
+
+
+@query(
+    """
+    SELECT source, lang, CASE WHEN n % 2 = 0 THEN NULL ELSE lang END AS kind, count(*)::BIGINT AS rows_of_key,
+      count(*)::BIGINT AS ids
+    FROM (SELECT source, lang, n_chars AS n FROM documents) GROUP BY ALL
+    """
+)
+def assign_ids_hot_key(t):
+    """Ids for rows that repeat a natural key many times, half of them without a part of it: as many ids as rows."""
+    kind = F.when(F.col("n_chars") % 2 != 0, F.col("lang"))
+    rows = t.documents.select("doc_id", "source", "lang", kind.alias("kind"), F.lit(None).cast("string").alias("id"))
+    given = cdc.assign_ids(rows, "id", ["source", "lang", "kind"])
+    return given.groupBy("source", "lang", "kind").agg(
+        F.count("*").alias("rows_of_key"), F.count_distinct("id").alias("ids")
+    )

@@ -130,8 +130,7 @@ def multi_mapped(t):
 @query(
     f"""
     WITH {_TOKENS}
-    SELECT a.lang, a.token FROM tokens a SEMI JOIN (SELECT token FROM tokens WHERE lang = 'en') b ON a.token = b.token
-    WHERE a.lang <> 'en'
+    SELECT lang, token FROM tokens WHERE lang <> 'en' AND token IN (SELECT token FROM tokens WHERE lang = 'en')
     """
 )
 def group_members_known(t):

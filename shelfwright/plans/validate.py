@@ -404,7 +404,7 @@ def id_findings(docs: DataFrame) -> DataFrame:
     return fd.all_findings(
         fd.finding(
             wrong, tier=fd.OUTSIDE_TIERS, code="E199", path="id",
-            message=F.concat(F.lit("id must be a non-empty string, got "), "kind"),
+            message=F.concat(F.lit("the id has to be text that is not empty; it is "), "kind"),
         ),
         fd.finding(
             again, tier=fd.OUTSIDE_TIERS, code="E199", path="id",

@@ -220,7 +220,7 @@ def test_cycles_are_reported_for_every_start(report):
 def test_ids(broken):
     found = rows(val.id_findings(broken), "slug", "message")
     assert found == [
-        ("number-id", "id must be a non-empty string, got BIGINT"),
+        ("number-id", "the id has to be text that is not empty; it is BIGINT"),
         ("owner-two", "duplicate id 'o1' in 'owner-one' and 'owner-two'"),
         ("same-id", "duplicate id 's9' in 'fine' and 'same-id'"),
         ("same-id-too", "duplicate id 's9' in 'same-id' and 'same-id-too'"),

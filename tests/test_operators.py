@@ -205,6 +205,29 @@ def test_ids_with_null_and_repeated_keys(spark):
     assert {(r["n"], r["id"]) for r in again} == {(r["n"], r["id"]) for r in got}
 
 
+def test_a_hot_key_is_numbered_by_content(spark):
+    rows = [("c", None if i % 3 else f"s{i % 5}", None, i) for i in range(900)] + [("c", None, None, 7)] * 2
+    df = spark.createDataFrame(rows, "collection string, slug string, id string, n int").repartition(5)
+    got = cdc.numbered_repeats(df, ["collection", "slug"]).collect()
+    held = {}
+    for r in got:
+        held.setdefault(r["slug"], []).append(r)
+    assert len(got) == len(rows)
+    for group in held.values():
+        assert sorted(r["_repeat"] for r in group) == list(range(1, len(group) + 1))
+    ids = cdc.assign_ids(df, "id", ["collection", "slug"])
+    assert ids.select("id").distinct().count() == len(rows)
+
+
+def test_ids_of_rows_with_null_keys(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (None, "k", "b"), (2, "k", "c"), (3, None, "e")], "id int, part string, v string")
+    new = spark.createDataFrame([(1, None, "A"), (2, "k", "c")], rows.schema)
+    moved = cdc.changed_ids(rows, new, ["id", "part"], "v").collect()
+    assert [(r["id"], r["part"], r["old_id"], r["new_id"]) for r in moved] == [(1, None, "a", "A")]
+    gone = cdc.deleted_ids(rows, cdc.classify(rows, new, ["id", "part"]), ["id", "part"], "v").collect()
+    assert {(r["id"], r["part"], r["v"]) for r in gone} == {(None, "k", "b"), (3, None, "e")}
+
+
 def test_many_small_cycles_take_few_rounds(spark, monkeypatch):
     cuts = []
     monkeypatch.setattr(lineage, "durable", lambda df, eager=True: cuts.append(1) or durable(df, eager))
