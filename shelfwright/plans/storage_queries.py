@@ -7,10 +7,17 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwright.operators import search
-from shelfwright.plans import document_queries as packed, publish as pub, search_queries as plain, validate as val
+from shelfwright.plans import (
+    document_queries as packed,
+    publish as pub,
+    report_queries as reports,
+    reports as doc_reports,
+    search_queries as plain,
+    validate as val,
+)
 from shelfwright.plans.registry import query
 from shelfwright.session import shared_folder
-from shelfwright.sources import document_files, documents as src, index_store, tables as store
+from shelfwright.sources import document_files, documents as src, index_store, link_store, tables as store
 
 
 def _new_folder(t, name: str) -> str:
@@ -167,3 +174,49 @@ def stored_index_prefix(t):
     folder = _maintained(t, ["text"], search.plain_postings)
     postings = index_store.read(t.spark, folder, ["that"], "wit")
     return search.matching_docs(postings, ["that", "wit"], prefix=True).withColumnRenamed("doc", "doc_id")
+
+
+# ---------------------------------------------------------------- the link cache
+
+
+@query(f"WITH {reports._LATEST} SELECT url, event_id, status, ttl_days FROM latest")
+def stored_cache_latest(t):
+    """The results of all events, taken in by two updates."""
+    folder = _new_folder(t, "links")
+    results = reports._results(t)
+    for part in (0, 1):
+        link_store.put(folder, results.where(F.col("event_id") % 2 == part), buckets=32)
+    return link_store.read(t.spark, folder).select("url", "event_id", "status", "ttl_days")
+
+
+# ---------------------------------------------------------------- incremental reading
+
+
+@query(
+    """
+    SELECT 'owner-' || s_suppkey AS slug, s_name || CASE WHEN s_suppkey % 7 = 0 THEN ' renamed' ELSE '' END AS name
+    FROM supplier WHERE s_suppkey % 7 = 0
+    """
+)
+def incremental_documents(t):
+    """The documents that a second reading finds changed; no other file is opened for it."""
+    supplier = F.col("s_suppkey").cast("string")
+
+    def written(rows, name):
+        doc = F.struct(F.concat(F.lit("m"), supplier).alias("id"), name.alias("name"))
+        files = rows.select(
+            F.lit("manufacturers").alias("collection"),
+            F.concat(F.lit("owner-"), supplier).alias("slug"),
+            F.to_json(doc).alias("content"),
+        )
+        document_files.write_files(files, folder)
+
+    folder = _new_folder(t, "documents")
+    stored = f"{folder}-state"
+    written(t.supplier, F.col("s_name"))
+    src.refresh(t.spark, folder, stored)
+    written(t.supplier.where(F.col("s_suppkey") % 7 == 0), F.concat("s_name", F.lit(" renamed")))
+    src.refresh(t.spark, folder, stored)
+    old, new = (src.refreshed(t.spark, stored, n) for n in (1, 2))
+    changed = doc_reports.changed_documents(old, new)
+    return changed.select("slug", F.try_variant_get("doc", "$.name", "string").alias("name"))

@@ -108,6 +108,28 @@ def read_files(spark: SparkSession, root: str, collections: list[str], task_byte
     return reader.option("leastTasks", spark.sparkContext.defaultParallelism).load(root)
 
 
+def listing(spark: SparkSession, root: str, collections: list[str]) -> DataFrame:
+    """``(collection, name, size, changed)`` of every document, without its content; ``changed`` is in nanoseconds."""
+    rows = [
+        (collection, found.base_name, found.size, found.mtime_ns)
+        for collection in collections
+        for found in files.listed(f"{root}/{collection}")
+        if found.base_name.endswith(ENDINGS) and not found.base_name.startswith((".", "_"))
+    ]
+    return spark.createDataFrame(rows, "collection string, name string, size long, changed long")
+
+
+def read_named(names: DataFrame, root: str) -> DataFrame:
+    """``RAW`` rows of the documents named by ``(collection, name)``."""
+    reader = DocumentReader({"path": root, "collections": ""})
+
+    def run(batches):
+        for batch in batches:
+            yield from reader.read(Share([(r["collection"], r["name"]) for r in batch.to_pylist()]))
+
+    return names.select("collection", "name").mapInArrow(run, RAW)
+
+
 def write_files(docs: DataFrame, root: str) -> int:
     """Write ``(collection, slug, content)`` as one file per row, from the tasks; the number of files.
 

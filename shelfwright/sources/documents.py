@@ -11,7 +11,8 @@ import yaml
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwright import fixed_values as fixed, schemas
-from shelfwright.sources.document_files import read_files
+from shelfwright.session import durable
+from shelfwright.sources import document_files, manifests
 
 _PARSED = "collection string, slug string, path string, json string, error string"
 
@@ -86,7 +87,7 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_raw(spark: SparkSession, root: str, collections: list[str] = fixed.COLLECTIONS) -> DataFrame:
     """``(collection, slug, path, content, problem)``; a collection without a directory has no rows."""
-    return read_files(spark, root, collections)
+    return document_files.read_files(spark, root, collections)
 
 
 def parse(raw: DataFrame) -> DataFrame:
@@ -110,6 +111,40 @@ def store_documents(docs: DataFrame, path: str) -> DataFrame:
     return stored.select(*docs.columns)
 
 
+def refresh(spark: SparkSession, root: str, folder: str, collections: list[str] = fixed.COLLECTIONS) -> dict:
+    """Bring the parsed documents in ``folder`` up to date with the files below ``root``; the new manifest.
+
+    A file of the same size and time of change is not opened; one that was only touched is read and compared by its content's
+    hash; the others are parsed. ``read`` and ``parsed`` count them. ``refreshed`` gives the documents.
+    """
+    last = manifests.current(folder)
+    listed = durable(document_files.listing(spark, root, collections))
+    known = spark.read.schema(_STATE).parquet(last["path"]) if last else spark.createDataFrame([], _STATE)
+    name = ["collection", "name"]
+    kept = known.join(listed, [*name, "size", "changed"], "left_semi")
+    asked = listed.join(kept.select(*name), name, "left_anti").repartition(*name)
+    raw = document_files.read_named(asked, root)
+    raw = raw.withColumn("name", F.element_at(F.split("path", "/"), -1)).withColumn("hash", F.sha2("content", 256))
+    raw = durable(raw.join(asked, name))
+    same = known.select(*name, "hash", "json", "error")
+    touched = raw.join(same, [*name, "hash"]).select(*kept.columns)
+    new = raw.join(same, [*name, "hash"], "left_anti")
+    parsed = parse(new).drop("doc").withColumn("name", F.element_at(F.split("path", "/"), -1))
+    parsed = parsed.join(new.select(*name, "size", "changed", "hash"), name).select(*kept.columns)
+    path = manifests.new_name(folder, "documents")
+    kept.unionByName(touched).unionByName(parsed).write.partitionBy("collection").parquet(path)
+    return manifests.commit(folder, {"path": path, "read": raw.count(), "parsed": new.count()}, last)
+
+
+_STATE = "name string, slug string, path string, size long, changed long, hash string, json string, error string, collection string"
+
+
+def refreshed(spark: SparkSession, folder: str, number: int | None = None) -> DataFrame:
+    """The documents of the last refresh, or of the one with a number."""
+    stored = spark.read.schema(_STATE).parquet(manifests.current(folder, number)["path"])
+    return stored.select("collection", "slug", "path", "json", "error", F.try_parse_json("json").alias("doc"))
+
+
 def readable(docs: DataFrame) -> DataFrame:
     """Documents that could be read; the others are left to the findings."""
     return docs.where(F.col("error").isNull() & F.schema_of_variant("doc").startswith("OBJECT"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwright.operators import search
-from shelfwright.sources import document_files, files, index_store, manifests, ranged, tables as store
+from shelfwright.sources import document_files, documents as src, files, index_store, link_store, manifests, ranged, tables as store
 
 
 @pytest.fixture
@@ -147,3 +147,47 @@ def test_index_of_no_documents(spark, tmp_path):
     one = spark.createDataFrame([(1, "a b")], none.schema)
     index_store.update(folder, one, none.select("id"), "id", ["name"])
     assert index_store.read(spark, folder, ["a"]).count() == 1
+
+
+def test_link_cache_writes_the_buckets_it_touches(spark, tmp_path):
+    folder = str(tmp_path)
+    results = spark.range(300).select(
+        F.concat(F.lit("http://u"), F.col("id").cast("string")).alias("url"),
+        F.lit("2024-01-01").cast("timestamp").alias("last_checked"),
+        F.lit(200).alias("status"),
+    )
+    assert link_store.read(spark, folder) is None
+    assert len(link_store.put(folder, results, buckets=16)) == 16
+    before = manifests.current(folder)["buckets"]
+    later = results.where("url = 'http://u7'").withColumn("status", F.lit(404)).withColumn("last_checked", F.lit("2024-02-01").cast("timestamp"))
+    (bucket,) = link_store.put(folder, later.unionByName(results.where("url = 'http://u7'")))
+    after = manifests.current(folder)["buckets"]
+    assert {b for b in after if after[b] != before[b]} == {str(bucket)}
+    got = {r["url"]: r["status"] for r in link_store.read(spark, folder).collect()}
+    assert got == {f"http://u{i}": 404 if i == 7 else 200 for i in range(300)}
+    asked = spark.createDataFrame([("http://u7",), ("http://new",)], "url string")
+    found = link_store.look_up(spark, folder, asked, F.lit("2024-02-02").cast("timestamp"))
+    assert {r["url"]: (r["status"], r["needs_check"]) for r in found.collect()} == {"http://u7": (404, False), "http://new": (None, True)}
+    link_store.put(folder, results.where("false"))
+    assert link_store.read(spark, folder).count() == 300
+
+
+def test_refresh_opens_and_parses_what_changed(spark, tmp_path):
+    root, state = tmp_path / "docs", str(tmp_path / "state")
+    for i in range(12):
+        files.write_file(f"{root}/software/s{i}.yaml", f"name: n{i}".encode())
+    files.write_file(f"{root}/software/bad.yml", b"name: [")
+    first = src.refresh(spark, str(root), state)
+    assert (first["read"], first["parsed"]) == (13, 13)
+    files.write_file(f"{root}/software/s1.yaml", b"name: other")
+    files.write_file(f"{root}/software/s2.yaml", b"name: n2")  # touched, not changed
+    files.write_file(f"{root}/hardware/h.yaml", b"name: unit")
+    os.remove(root / "software" / "s3.yaml")
+    second = src.refresh(spark, str(root), state)
+    assert (second["read"], second["parsed"]) == (3, 2)
+    columns = ["collection", "slug", "path", "json", "error"]
+    whole = src.read_documents(spark, str(root)).select(*columns)
+    assert sorted(map(str, src.refreshed(spark, state).select(*columns).collect())) == sorted(map(str, whole.collect()))
+    third = src.refresh(spark, str(root), state)
+    assert (third["read"], third["parsed"]) == (0, 0)
+    assert src.refreshed(spark, state, 1).count() == 13
