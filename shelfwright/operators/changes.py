@@ -15,6 +15,8 @@ from shelfwright.session import durable
 
 ADDED, MODIFIED, DELETED = "added", "modified", "deleted"
 MOST_ROUNDS = 64
+CHECKSUM_WIDTH = 4096
+MOST_SENT = 1_000_000  # small groups that differ, as two numbers each, sent to all tasks
 
 
 def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -51,6 +53,50 @@ def classify(base: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*key, op.alias("op")).where(F.col("op").isNotNull())
 
 
+def _checksums(df: DataFrame, group: list[str], values: list[str]) -> DataFrame:
+    """Rows and four sums of row hashes by group. Sums of 32 bits neither overflow nor cancel out."""
+    row = F.to_json(F.struct(*values))
+    parts = []
+    for seed in (0, 1):
+        h = F.xxhash64(F.lit(seed), row)
+        parts += [h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32)]
+    sums = [F.sum(part).alias(f"_sum{i}") for i, part in enumerate(parts)]
+    return df.groupBy(*group).agg(F.count("*").alias("_rows"), *sums)
+
+
+def _differing(base: DataFrame, current: DataFrame, group: list[str], values: list[str]) -> DataFrame:
+    """The groups whose checksums are not the same on both sides."""
+    old, new = _checksums(base, group, values), _checksums(current, group, values)
+    sums = [c for c in old.columns if c not in group]
+    renamed = new.withColumnsRenamed({c: f"_new{c}" for c in sums})
+    equal = F.lit(True)
+    for c in sums:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"_new{c}"))
+    return old.join(renamed, group, "full_outer").where(~equal).select(*group)
+
+
+def classify_sparse(base: DataFrame, current: DataFrame, keys: list[str], width: int = CHECKSUM_WIDTH) -> DataFrame:
+    """``classify`` for snapshots that hardly differ: equal stretches of keys are never shuffled.
+
+    A checksum tree of two levels over hashed keys: ``width`` groups, and ``width`` in each group that differs. Sums are
+    combined before they are shuffled, so a task sends at most ``width`` rows, or ``width`` for each group that differs. The rows of
+    the small groups that differ are all that goes to the join; both tables are read three times instead.
+    """
+    values = sorted(base.columns)
+    place = F.xxhash64(F.lit("place"), *keys)
+    marked = [
+        df.select(*values, F.pmod(place, F.lit(width)).alias("_top"), F.pmod(F.shiftright(place, 32), F.lit(width)).alias("_low"))
+        for df in (base, current)
+    ]
+    top = durable(_differing(*marked, ["_top"], values))  # at most ``width`` rows, so it may be sent to all tasks
+    inside = [df.join(F.broadcast(top), "_top", "left_semi") for df in marked]
+    low = durable(_differing(*inside, ["_top", "_low"], values))
+    small = low.count() <= MOST_SENT
+    low = F.broadcast(low) if small else low
+    rows = [df.join(low, ["_top", "_low"], "left_semi").select(*values) for df in (inside if small else marked)]
+    return classify(*rows, keys)
+
+
 def change_set(base: DataFrame, current: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, op, payload)``: the new row for additions and changes, NULL for deletions."""
     ops = classify(base, current, keys)

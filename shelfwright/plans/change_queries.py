@@ -242,6 +242,20 @@ def slug_check(t):
     return t.customer.select("c_custkey", text.is_slug(name).alias("is_slug"))
 
 
+@query(
+    """
+    SELECT o_orderkey, CASE o_orderkey % 1000 WHEN 1 THEN 'deleted' WHEN 2 THEN 'added' ELSE 'modified' END AS op
+    FROM orders WHERE o_orderkey % 1000 IN (1, 2, 3)
+    """
+)
+def snapshot_diff_sparse(t):
+    """Three orders of a thousand differ; only their groups of keys meet in the join."""
+    orders, part = t.orders, F.col("o_orderkey") % 1000
+    price = F.when(part == 3, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    new = orders.where(part != 1).withColumn("o_totalprice", price)
+    return cdc.classify_sparse(orders.where(part != 2), new, KEY)
+
+
 # ---------------------------------------------------------------- keys of which a part may be NULL
 
 _NULLABLE = _SNAPSHOTS + """,

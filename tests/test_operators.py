@@ -219,6 +219,26 @@ def test_a_hot_key_is_numbered_by_content(spark):
     assert ids.select("id").distinct().count() == len(rows)
 
 
+@pytest.mark.parametrize("width, sent", [(4096, 10**6), (3, 10**6), (64, 0)])
+def test_sparse_changes_equal_all_changes(spark, monkeypatch, width, sent):
+    monkeypatch.setattr(cdc, "MOST_SENT", sent)
+    old = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 5 > 0, F.lit("k")).alias("part"), F.lit("v").alias("v"))
+    old = old.unionByName(old.where("id = 9")).unionByName(spark.createDataFrame([(None, None, "n")], "id long, part string, v string"))
+    new = old.where("id IS NULL OR id NOT IN (4, 9)").withColumn("v", F.when(F.col("id").isin(10, 11), F.lit(None).cast("string")).otherwise(F.col("v")))
+    new = new.unionByName(spark.createDataFrame([(5000, "k", "w"), (None, "k", "w")], "id long, part string, v string"))
+    want = sorted(map(str, cdc.classify(old, new, ["id", "part"]).collect()))
+    assert sorted(map(str, cdc.classify_sparse(old, new, ["id", "part"], width).collect())) == want and len(want) > 5
+    assert cdc.classify_sparse(old, old, ["id", "part"], width).collect() == []
+
+
+def test_only_groups_that_differ_are_joined(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(cdc, "classify", lambda a, b, keys: seen.append(a.count() + b.count()))
+    old = spark.range(50_000).select("id", F.lit(1).alias("v"))
+    cdc.classify_sparse(old, old.withColumn("v", F.when(F.col("id") % 10_000 == 7, 2).otherwise(F.col("v"))), ["id"])
+    assert 10 <= seen[0] < 60
+
+
 def test_ids_of_rows_with_null_keys(spark):
     rows = spark.createDataFrame([(1, None, "a"), (None, "k", "b"), (2, "k", "c"), (3, None, "e")], "id int, part string, v string")
     new = spark.createDataFrame([(1, None, "A"), (2, "k", "c")], rows.schema)
