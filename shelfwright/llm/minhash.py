@@ -7,9 +7,9 @@ similarity s share a table with probability (1 - (1 - s ** width) ** halves) **
 
 1. Documents with equal sets become one (by a 128-bit fingerprint of the set, and its size).
 2. Tables (i, i): each document of a bucket is paired with one leader, drawn at random per bucket.
-3. All tables: for any two components in a bucket, the documents of the smaller one are paired with one document of the
-   larger one, drawn anew per bucket; ``ROUNDS`` times at most. These are cheap rounds that merge most components; a
-   bucket inside one component makes no pair.
+3. All tables: the documents of a bucket are paired with one leader of another component, drawn anew per bucket and round:
+   as many pairs as rows. Rounds go on, ``ROUNDS`` at most, while each takes a quarter of the rows away; a bucket
+   inside one component makes no pair.
 4. All tables: in each bucket that still holds several components, any two documents of different components meet. A
    pair goes on only if set sizes and parity bits (a bound of the symmetric difference) leave the similarity possible.
    Both bounds are exact, so no document that shares a bucket with a similar one stays unlinked. A bucket of more
@@ -43,7 +43,8 @@ HALVES = 12
 WIDTH = 3
 SEED = 5
 BROADCAST_IDS = 500_000  # ids small enough to send to all tasks
-ROUNDS = 2  # rounds of random leaders over all tables, before all documents of a bucket meet
+ROUNDS = 8  # rounds of random leaders over all tables at most, before all documents of a bucket meet
+TASK_ROWS = 2_000_000  # rows of all tables that a task deals out
 PARITY_WORDS = 16  # 64-bit words of parity bits of a set
 BLOCK = 2_000  # documents of a bucket that meet in one group
 
@@ -102,7 +103,9 @@ def signatures(
 
 
 def keyed(members: DataFrame, tables: list[tuple[int, int]]) -> DataFrame:
-    """(key, id, comp): each member once per table."""
+    """(key, id, comp): each member once per table. Members are few and their rows many, so they are spread first."""
+    tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-members.count() * len(tables) // TASK_ROWS))
+    members = members.repartition(tasks, "id")
     keys = F.array(*[F.xxhash64(F.lit(i), F.lit(j), F.get("first", F.lit(i)), F.get("second", F.lit(j))) for i, j in tables])
     return members.select(F.explode_outer(keys).alias("key"), "id", "comp")
 
@@ -133,19 +136,12 @@ def crowded_rows(rows: DataFrame) -> DataFrame:
     return durable(rows.join(crowded, F.col("key") == F.col("q"), "left_semi"))
 
 
-def component_pairs(rows: DataFrame, seed: int) -> DataFrame:
-    """(a, b): for any two components in a bucket, the members of the smaller one with one member of the larger."""
-    lead = durable(
-        rows.groupBy(F.col("key").alias("k"), F.col("comp").alias("c")).agg(
-            F.min(shuffled_id(seed)).alias("lead"), F.count("*").alias("size")
-        )
-    )
-    own = lead.select(F.col("k").alias("own_key"), F.col("c").alias("own_comp"), F.col("size").alias("own_size"))
-    sized = rows.join(own, (F.col("key") == F.col("own_key")) & (F.col("comp") == F.col("own_comp")))
-    smaller = (F.col("own_size") < F.col("size")) | ((F.col("own_size") == F.col("size")) & (F.col("comp") < F.col("c")))
-    met = sized.join(lead, (F.col("key") == F.col("k")) & smaller)
+def star_pairs(rows: DataFrame, seed: int) -> DataFrame:
+    """(a, b): in each bucket, the members that are not of its leader's component with the leader, drawn anew for each seed."""
+    lead = rows.groupBy(F.col("key").alias("k")).agg(F.min(F.struct(shuffled_id(seed).alias("lead"), "comp")).alias("first"))
+    met = rows.join(lead, F.col("key") == F.col("k")).filter(F.col("comp") != F.col("first.comp"))
     flip = shuffled_id(seed).bitwiseXOR(F.col("id"))
-    return ordered(met.select("id", F.col("lead").bitwiseXOR(flip).alias("other")))
+    return ordered(met.select("id", F.col("first.lead").bitwiseXOR(flip).alias("other")))
 
 
 def parity_bits(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -310,16 +306,15 @@ def near_components(
     pairs = of_close_sizes(leader_pairs(keyed(members, [(i, i) for i in range(halves)]), seed), members, percent)
     members = relabelled(members, verified(pairs, docs, id_col, text_col, shingle, percent))
     rows = crowded_rows(keyed(members, [(i, j) for i in range(halves) for j in range(halves)]))
-    turn = 1
-    while turn <= ROUNDS and not rows.isEmpty():
-        pairs = of_close_sizes(component_pairs(rows, seed + turn), members, percent)
-        links = verified(pairs, docs, id_col, text_col, shingle, percent)
-        if links.isEmpty():
-            break
-        members = relabelled(members, links)
+    left = rows.count()
+    for turn in range(1, ROUNDS + 1 if left else 1):
+        pairs = of_close_sizes(star_pairs(rows, seed + turn), members, percent)
+        members = relabelled(members, verified(pairs, docs, id_col, text_col, shingle, percent))
         rows = crowded_rows(rows.drop("comp").join(members.select("id", "comp"), "id").select("key", "id", "comp"))
-        turn += 1
-    if not rows.isEmpty():
+        before, left = left, rows.count()
+        if 4 * left > 3 * before or not left:
+            break
+    if left:
         outlined = outlines(docs, few_or_all(rows.select("id").distinct(), BROADCAST_IDS), id_col, text_col, shingle)
         links = verified(all_pairs(rows, outlined, percent), docs, id_col, text_col, shingle, percent)
         members = relabelled(members, links)
