@@ -37,7 +37,7 @@ from shelfwright.llm.files import file_system, new_folder, write_file
 from shelfwright.llm.shingles import gram_hashes, scrambled, word_hashes
 from shelfwright.session import durable
 
-ORDER = 2
+ORDER = 3
 TASK_TOKENS = 4_000_000
 RANGE_TOKENS = 1_000_000
 SLICE_BYTES = 4 << 20
