@@ -200,8 +200,10 @@ def far_candidates(asked: DataFrame, terms: DataFrame, shared: int = SHARED, sho
         return pairs
     askers = asked_keys.join(common, "_key", "left_semi").drop("_key").distinct()
     long = F.length("_term") > short
-    found = candidates(askers, crowd.where(~long), REACH).select(*_PAIR)
-    return pairs.unionByName(found).unionByName(crowded_candidates(askers, crowd.where(long), shared, short))
+    pairs = pairs.unionByName(candidates(askers, crowd.where(~long), REACH).select(*_PAIR))
+    if crowd.where(long).isEmpty():
+        return pairs
+    return pairs.unionByName(crowded_candidates(askers, crowd.where(long), shared, short))
 
 
 def alike_in_length(asked: DataFrame, terms: DataFrame) -> DataFrame:
