@@ -104,7 +104,7 @@ def packed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
     before = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     sums = local.groupBy(F.col("part").alias("p"), F.col("source").alias("s")).agg(F.sum("size").alias("words"))
     sums = sums.select("p", "s", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("ahead"))
-    return local.join(F.broadcast(sums), (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s"))).select(
+    return local.join(sums, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s"))).select(
         "id", "source", "size", "hash", (F.col("start") + F.col("ahead")).alias("start")
     )
 
@@ -274,7 +274,8 @@ def taken_words(
     uses = slots(docs.sparkSession, table, shard, seed).groupBy(F.col("of").alias("o"), F.col("block").alias("b")).agg(F.count("*").alias("uses"))
     parts = overlaps(placed.withColumn("id", F.col("row")), block)
     took = (
-        parts.join(uses, (F.col("of") == F.col("o")) & (F.col("block") == F.col("b")))
+        # counts by slot grow with the corpus and Spark underrates them: never broadcast
+        parts.join(uses.hint("merge"), (F.col("of") == F.col("o")) & (F.col("block") == F.col("b")))
         .groupBy(F.col("id").alias("r"))
         .agg(F.sum((F.col("hi") - F.col("lo")) * F.col("uses")).alias("taken"))
     )
@@ -338,7 +339,7 @@ def mixed(
     )
     return (
         slots(docs.sparkSession, table, shard, seed)
-        .join(blocks, (F.col("of") == F.col("o")) & (F.col("block") == F.col("b")))
+        .join(blocks.hint("merge"), (F.col("of") == F.col("o")) & (F.col("block") == F.col("b")))
         .select(
             "shard",
             "slot",
