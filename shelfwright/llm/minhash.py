@@ -21,8 +21,11 @@ Pairs are verified on the exact shingle sets of the whole texts: linked where
 Only buckets with several components are looked at again, so all tables are dealt out once. Ids are integers.
 
 Defined cases: NULL, empty and wordless texts have an empty set and are linked with nothing; a text of fewer words
-than a shingle has one shingle; rows that repeat an id are read as separate texts of one node; a row with a
-NULL id is never linked, and keeps a NULL component; other columns are ignored, or kept by ``drop_near_copies``.
+than a shingle has one shingle; rows that repeat an id are separate texts, each compared, and their links are the
+id's; a row with a NULL id is never linked, and keeps a NULL component; other columns are ignored, or kept by
+``drop_near_copies``, which also keeps one of the rows that repeat both id (NULL or not) and text.
+
+Inside, a node is a number of a distinct set; (``doc``, ``hash``) are the id and the text's hash of one row with it.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwright.llm import textcols
-from shelfwright.llm.components import components
+from shelfwright.llm.components import components, gathered, settled
 from shelfwright.llm.shingles import scrambled, shingle_sets
 from shelfwright.session import durable
 
@@ -71,11 +74,30 @@ def half_keys(values: np.ndarray, bounds: np.ndarray, halves: int, width: int, s
     return keys
 
 
+def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, hash) of each row."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+
+
+def texts_of(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(x, text) of some nodes (x, doc, hash), one row each."""
+    found = hashed(docs, id_col, text_col).join(nodes, (F.col("id") == F.col("doc")) & (F.col("hash") == nodes["h"]))
+    return found.select("x", "text").dropDuplicates(["x"])
+
+
+def node_texts(docs: DataFrame, ids: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(x, text) of the nodes in ``ids``, whose column is x."""
+    at = members.select(F.col("id").alias("node"), "doc", F.col("hash").alias("h"))
+    nodes = few_or_all(ids.join(at, F.col("x") == F.col("node")).select("x", "doc", "h"), BROADCAST_IDS)
+    return texts_of(docs, nodes, id_col, text_col)
+
+
 def signatures(
     docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, halves: int = HALVES, width: int = WIDTH, seed: int = SEED
 ) -> DataFrame:
-    """(id, n, f1, f2, first, second): set size, set fingerprint and both collections of half keys. Durable."""
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    """(id, hash, n, f1, f2, first, second): hash of the text, set size, set fingerprint, collections of half keys. Durable."""
+    picked = hashed(docs, id_col, text_col)
 
     def listed(side: np.ndarray) -> pa.Array:
         flat = np.ascontiguousarray(side.T).view(np.int64).ravel()
@@ -92,13 +114,13 @@ def signatures(
                     np.cumsum(scrambled(values + np.uint64(salt)), out=total[1:])
                     sums.append((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(np.diff(bounds)), *map(pa.array, sums), listed(first), listed(second)],
-                    ["id", "n", "f1", "f2", "first", "second"],
+                    [part.column("id"), part.column("hash"), pa.array(np.diff(bounds)), *map(pa.array, sums), listed(first), listed(second)],
+                    ["id", "hash", "n", "f1", "f2", "first", "second"],
                 )
 
     id_type = picked.schema["id"].dataType.simpleString()
     return durable(
-        picked.mapInArrow(run, f"id {id_type}, n long, f1 long, f2 long, first array<long>, second array<long>")
+        picked.mapInArrow(run, f"id {id_type}, hash long, n long, f1 long, f2 long, first array<long>, second array<long>")
     )
 
 
@@ -111,14 +133,15 @@ def keyed(members: DataFrame, tables: list[tuple[int, int]]) -> DataFrame:
 
 
 def shuffled_id(seed: int) -> Column:
-    """The id with low bits flipped as the bucket's key says: its minimum is a random member, and flips back."""
-    return F.col("id").bitwiseXOR(F.xxhash64(F.lit(seed), "key").bitwiseAND(F.lit((1 << 20) - 1).cast("long")))
+    """The node with bits flipped as the bucket's key says: its minimum is a random member, and flips back."""
+    return F.col("id").bitwiseXOR(F.xxhash64(F.lit(seed), "key").bitwiseAND(F.lit((1 << 62) - 1)))
 
 
 def few_or_all(df: DataFrame, limit: int) -> DataFrame:
     """A durable copy, marked for broadcast while it has at most ``limit`` rows."""
     df = durable(df)
-    return F.broadcast(df) if df.count() <= limit else df
+    rows = df.count()
+    return F.broadcast(gathered(df, rows)) if rows <= limit else gathered(df, rows)
 
 
 def leader_pairs(rows: DataFrame, seed: int) -> DataFrame:
@@ -133,7 +156,7 @@ def crowded_rows(rows: DataFrame) -> DataFrame:
     """The rows of buckets that hold more than one component. Durable."""
     spread = rows.groupBy(F.col("key").alias("q")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     crowded = few_or_all(spread.filter("lo <> hi").select("q"), BROADCAST_IDS)
-    return durable(rows.join(crowded, F.col("key") == F.col("q"), "left_semi"))
+    return settled(rows.join(crowded, F.col("key") == F.col("q"), "left_semi"))
 
 
 def star_pairs(rows: DataFrame, seed: int) -> DataFrame:
@@ -156,9 +179,9 @@ def parity_bits(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return words.reshape(-1, PARITY_WORDS)
 
 
-def outlines(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, n, bits) of the texts of some ids: set size and parity bits. Durable."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
+def outlines(docs: DataFrame, ids: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, n, bits) of some nodes: set size and parity bits. Durable."""
+    texts = node_texts(docs, ids, members, id_col, text_col)
 
     def run(batches):
         for batch in batches:
@@ -166,12 +189,11 @@ def outlines(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, shingl
                 values, bounds = shingle_sets(part.column("text"), shingle)
                 bits = parity_bits(values, bounds).view(np.uint8).reshape(-1, 8 * PARITY_WORDS)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(np.diff(bounds)), pa.array([b.tobytes() for b in bits], pa.binary())],
+                    [part.column("x"), pa.array(np.diff(bounds)), pa.array([b.tobytes() for b in bits], pa.binary())],
                     ["id", "n", "bits"],
                 )
 
-    id_type = texts.schema["id"].dataType.simpleString()
-    return durable(texts.mapInArrow(run, f"id {id_type}, n long, bits binary").filter("n > 0"))
+    return settled(texts.mapInArrow(run, "id long, n long, bits binary"))
 
 
 def pairs_in_groups(table: pa.Table, percent: int) -> pa.RecordBatch:
@@ -229,7 +251,7 @@ def all_pairs(rows: DataFrame, outlined: DataFrame, percent: int) -> DataFrame:
         if held is not None:
             yield pairs_in_groups(held, percent)
 
-    return durable(by_group.mapInArrow(run, "a long, b long").distinct())
+    return settled(by_group.mapInArrow(run, "a long, b long").distinct())
 
 
 def of_close_sizes(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -238,19 +260,17 @@ def of_close_sizes(pairs: DataFrame, members: DataFrame, percent: int) -> DataFr
     both = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("x")), "a").join(
         sizes.select(F.col("id").alias("b"), F.col("n").alias("y")), "b"
     )
-    return durable(both.filter(100 * F.least("x", "y") >= percent * F.greatest("x", "y")).select("a", "b"))
+    return settled(both.filter(100 * F.least("x", "y") >= percent * F.greatest("x", "y")).select("a", "b"))
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    ids = durable(pairs.select(F.col("a").alias("x")).union(pairs.select("b")).distinct())
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.select(F.col(id_col).alias("x"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(F.broadcast(ids) if few else ids, "x", "left_semi")
+    ids = pairs.select(F.col("a").alias("x")).union(pairs.select("b")).distinct()
+    texts = node_texts(docs, ids, members, id_col, text_col)
     left = texts.select(F.col("x").alias("i"), F.col("text").alias("text_a"))
     right = texts.select(F.col("x").alias("j"), F.col("text").alias("text_b"))
     both = pairs.join(left, F.col("a") == F.col("i")).join(right, F.col("b") == F.col("j")).select("a", "b", "text_a", "text_b")
@@ -269,7 +289,7 @@ def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, shin
                     keep[r] = shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared)
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    return durable(both.mapInArrow(run, pairs.schema))
+    return settled(both.mapInArrow(run, pairs.schema))
 
 
 def relabelled(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -282,7 +302,7 @@ def relabelled(members: DataFrame, links: DataFrame) -> DataFrame:
     )
     labels = components(ends)
     moved = members.join(labels, F.col("comp") == F.col("node"), "left")
-    return durable(moved.withColumn("comp", F.coalesce("label", "comp")).drop("node", "label"))
+    return settled(moved.withColumn("comp", F.coalesce("label", "comp")).drop("node", "label"))
 
 
 def near_components(
@@ -298,37 +318,40 @@ def near_components(
     """Per document: id, n_shingles, component_id (the smallest id linked with it, directly or not), kept."""
     sign = signatures(docs, id_col, text_col, shingle, halves, width, seed)
     whole = sign.filter("n > 0 AND id IS NOT NULL")
-    copies = whole.groupBy(F.col("n").alias("m"), F.col("f1").alias("g1"), F.col("f2").alias("g2")).agg(F.min("id").alias("rep"))
+    sets = whole.groupBy(F.col("n").alias("m"), F.col("f1").alias("g1"), F.col("f2").alias("g2")).agg(F.min("id").alias("rep"))
+    sets = settled(sets.withColumn("node", F.monotonically_increasing_id()))
     same = (F.col("n") == F.col("m")) & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2"))
-    copied = durable(whole.select("id", "n", "f1", "f2").join(copies, same).select("id", "rep"))
-    members = durable(whole.join(copied.filter("id = rep").select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"]).withColumn("comp", F.col("id")))
+    copied = settled(whole.select("id", "n", "f1", "f2").join(sets, same).select("id", "node").distinct())
+    members = settled(
+        whole.join(sets, same & (F.col("id") == F.col("rep")))
+        .select(F.col("node").alias("id"), F.col("id").alias("doc"), "hash", "n", "first", "second", F.col("node").alias("comp"))
+        .dropDuplicates(["id"])
+    )
+    # an id that several sets share links them
+    several = copied.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z")
+    links = copied.join(several, "id").filter("a <> node").select("a", F.col("node").alias("b"))
 
     pairs = of_close_sizes(leader_pairs(keyed(members, [(i, i) for i in range(halves)]), seed), members, percent)
-    members = relabelled(members, verified(pairs, docs, id_col, text_col, shingle, percent))
+    members = relabelled(members, verified(pairs, docs, members, id_col, text_col, shingle, percent).unionByName(links))
     rows = crowded_rows(keyed(members, [(i, j) for i in range(halves) for j in range(halves)]))
     left = rows.count()
     for turn in range(1, ROUNDS + 1 if left else 1):
         pairs = of_close_sizes(star_pairs(rows, seed + turn), members, percent)
-        members = relabelled(members, verified(pairs, docs, id_col, text_col, shingle, percent))
+        members = relabelled(members, verified(pairs, docs, members, id_col, text_col, shingle, percent))
         rows = crowded_rows(rows.drop("comp").join(members.select("id", "comp"), "id").select("key", "id", "comp"))
         before, left = left, rows.count()
         if 4 * left > 3 * before or not left:
             break
     if left:
-        outlined = outlines(docs, few_or_all(rows.select("id").distinct(), BROADCAST_IDS), id_col, text_col, shingle)
-        links = verified(all_pairs(rows, outlined, percent), docs, id_col, text_col, shingle, percent)
+        outlined = outlines(docs, rows.select(F.col("id").alias("x")).distinct(), members, id_col, text_col, shingle)
+        links = verified(all_pairs(rows, outlined, percent), docs, members, id_col, text_col, shingle, percent)
         members = relabelled(members, links)
 
-    linked = copied.join(members.select(F.col("id").alias("rep"), "comp"), "rep").select(F.col("id").alias("i"), F.col("comp").alias("c"))
-    # an id that several texts share belongs to the component of any of them
-    shared = linked.groupBy("i").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    joined = shared.filter("lo <> hi").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    labels = shared.select("i", F.col("lo").alias("c"))
-    if not joined.isEmpty():
-        more = linked.join(labels.withColumnRenamed("c", "lo"), "i").select(F.col("c").alias("a"), F.col("lo").alias("b"))
-        merged = components(more)
-        labels = labels.join(merged, F.col("c") == F.col("node"), "left").select("i", F.coalesce("label", "c").alias("c"))
-    label = F.coalesce("c", "id")
+    # the component of an id: the smallest id with any set of its component
+    linked = settled(copied.join(members.select(F.col("id").alias("m"), "comp"), F.col("node") == F.col("m")).select(F.col("id").alias("i"), "comp").distinct())
+    least = linked.groupBy(F.col("comp").alias("c")).agg(F.min("i").alias("least"))
+    labels = linked.join(least, F.col("comp") == F.col("c")).select("i", "least")
+    label = F.coalesce("least", "id")
     return sign.join(labels, F.col("id") == F.col("i"), "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), label.alias("component_id"), label.eqNullSafe(F.col("id")).alias("kept")
     )
@@ -336,6 +359,14 @@ def near_components(
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents with the smallest id of their component, with all their columns."""
-    gone = durable(near_components(docs, id_col, text_col, **options).filter("NOT kept").select(F.col(id_col).alias("_gone")).distinct())
-    few = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["_gone"], "left_anti")
+    found = settled(near_components(docs, id_col, text_col, **options).select(F.col(id_col).alias("_id"), "n_shingles", "kept"))
+    gone = few_or_all(found.filter("NOT kept").select(F.col("_id").alias("_gone")).distinct(), BROADCAST_IDS)
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("of"), F.xxhash64(text_col).alias("h"), F.xxhash64(F.lit(1), text_col).alias("g"))
+    rows = rows.join(gone, F.col("of") == F.col("_gone"), "left_anti")
+    repeated = found.filter("kept AND n_shingles > 0").groupBy("_id").count().filter("count > 1").select("_id")
+    repeated = few_or_all(repeated, BROADCAST_IDS)
+    if not repeated.isEmpty():
+        again = F.col("of").eqNullSafe(F.col("_id"))
+        texts = rows.join(repeated, again, "left_semi").groupBy("of", "h", "g").agg(F.first("row").alias("row"))
+        rows = rows.join(repeated, again, "left_anti").select("row").unionByName(texts.select("row"))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
