@@ -101,10 +101,9 @@ WITH p AS MATERIALIZED (
   FROM pages),
 l AS MATERIALIZED (SELECT page_id, host, pos, line, trim(line, BLANKS) AS bare
   FROM (SELECT page_id, host, unnest(range(1, len(lines) + 1)) AS pos, unnest(lines) AS line FROM p)),
-b AS (SELECT l.host, bare, count(DISTINCT coalesce(p.lines, [''])) AS n FROM l JOIN p ON l.page_id = p.page_id
-      WHERE bare <> '' GROUP BY l.host, bare),
-t AS (SELECT host, count(DISTINCT coalesce(lines, [''])) AS pages FROM p GROUP BY host),
-x AS (SELECT b.host, bare FROM b JOIN t ON b.host IS NOT DISTINCT FROM t.host WHERE n >= 10 AND n > 0.1 * pages),
+b AS (SELECT host, bare, count(DISTINCT page_id) AS n FROM l WHERE bare <> '' GROUP BY host, bare),
+t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+x AS (SELECT b.host, bare FROM b JOIN t ON b.host IS NOT DISTINCT FROM t.host WHERE n >= 2 AND n > 0.1 * pages),
 k AS (SELECT l.*, x.bare IS NOT NULL AS gone
       FROM l LEFT JOIN x ON l.host IS NOT DISTINCT FROM x.host AND l.bare = x.bare)
 SELECT p.page_id, p.host, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS text_or_null,

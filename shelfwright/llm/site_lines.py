@@ -1,17 +1,18 @@
 """Line dedup by site-relative frequency, in DataFrame expressions only.
 
 For each site, the pages that hold a line are divided by the site's pages; lines above ``ratio`` are
-boilerplate and are dropped from all pages of the site. Pages of one site with equal texts count as one page,
-so that a text does not become boilerplate by being copied. A line is compared without ASCII white space at
-its ends, by two 64-bit hashes; blank lines stay. A line on fewer than ``least`` pages is never dropped, so
-that sites of a few pages lose nothing.
+boilerplate and are dropped from all pages of the site. A line must be on ``least`` pages, two by default: a
+line of one page repeats nothing, however few pages its site has. A line is compared without ASCII white space
+at its ends, by two 64-bit hashes; blank lines stay.
 
-Lines are counted once per page, by (site, line, page text) and then by (site, line), so neither a hot site nor
-a hot line meets in one task. What is dropped comes back as one short list per site (at most lines-per-page /
-ratio), broadcast while all lists together are under ``broadcast_bytes`` and joined by site beyond it.
+A page holds a line once, however often it comes up there, so counts by (site, line) are sums that are combined
+before the shuffle, and neither a hot site nor a hot line meets in one task. What is dropped comes back as one
+map per site (at most lines-per-page / ratio keys), broadcast while all maps together are under
+``broadcast_bytes`` and joined by site beyond it.
 
 Defined cases: a NULL site is a site of its own; a NULL text stays NULL and counts like an empty one, as a page
-without lines; repeated rows are all cleaned and count once; other columns, of any name, are kept.
+without lines; each row is a page, repeated rows too; other columns, of any name, are kept. ``counts`` must name
+columns that ``pages`` does not have.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from shelfwright.session import durable
 
 RATIO = 0.1
-LEAST = 10
+LEAST = 2
 BROADCAST_BYTES = 8 << 20
 
 BLANK = " \t\n\u000b\f\r"
@@ -39,11 +40,9 @@ def boilerplate(pages: DataFrame, site_col: str, text_col: str, ratio: float = R
     text = F.coalesce(F.col(text_col), F.lit(""))
     # every page has a blank line at least (a NULL key), which counts the site's pages in the same pass
     keys = F.array_distinct(F.transform(F.split(F.concat(text, F.lit("\n")), "\n"), line_key))
-    lines = pages.select(F.col(site_col).alias("site"), F.xxhash64(text).alias("page"), F.explode_outer(keys).alias("line"))
+    lines = pages.select(F.col(site_col).alias("site"), F.explode_outer(keys).alias("line"))
     counts = durable(
-        lines.groupBy("site", "line", "page")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("site", "line")
+        lines.groupBy("site", "line")
         .agg(F.count("*").alias("n"))
         .filter((F.col("n") >= least) | F.col("line").isNull())
     )
@@ -67,6 +66,8 @@ def drop_boilerplate(
     counts: tuple[str, str] | None = None,
 ) -> DataFrame:
     """The pages without their boilerplate lines; ``counts`` names two columns for lines and dropped lines."""
+    if counts and set(counts) & set(pages.columns):
+        raise ValueError(f"columns {counts} must be new")
     lists = durable(boilerplate(pages, site_col, text_col, ratio, least).select(F.col("site").alias("_site"), F.col("lines").alias("_lines")))
     size = lists.agg(F.sum(F.size("_lines") * 24 + F.coalesce(F.octet_length("_site"), F.lit(0)) + 32).alias("n")).first()["n"] or 0
     lists = F.broadcast(lists) if size <= broadcast_bytes else lists

@@ -142,6 +142,20 @@ def test_near_components_without_rows_and_with_null_ids(spark, docs):
     assert {(r["doc_id"], r["component_id"]) for r in minhash.near_components(rows, shingle=2).collect()} == {(None, None), (1, 1), (2, 1)}
 
 
+def test_every_text_of_a_repeated_id_links(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (3, b + " y"), (4, "zz " + b), (4, a), (5, "c " * 9 + "d"), (6, "")]
+    got = {(r["doc_id"], r["component_id"]) for r in minhash.near_components(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()}
+    assert got == {(1, 1), (3, 1), (4, 1), (5, 5), (6, 6)}
+
+
+def test_repeated_rows_leave_one(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(7, a, 1), (7, a, 1), (8, a + " more", 2), (None, b, 3), (None, b, 3), (9, "", 4), (9, None, 5), (9, "", 4), (10, b, 6)]
+    kept = minhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, row int")).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(7, a, 1), (None, b, 3), (9, "", 4), (9, None, 5), (9, "", 4), (10, b, 6)], key=repr)
+
+
 @pytest.mark.parametrize("block", [2_000, 300])
 def test_edits_of_single_copies_join_a_dense_group(spark, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block, raising=False)
@@ -270,11 +284,15 @@ def test_shuffled_benchmark_gives_the_same(docs, items):
 def test_boilerplate_is_judged_by_site(spark):
     rows = [(i, "big" if i < 100 else None, f"own {i}\n footer \n" + ("menu\n" if i % 4 == 0 else "")) for i in range(120)]
     rows += [(200 + i, "copies", "same line\nsecond") for i in range(50)] + [(300, "big", None), (301, "big", "")]
+    # a line of one page repeats nothing; of three pages, two are above a tenth
+    rows += [(400, "one", "alone\nalone"), (401, "two", "mine\nours"), (402, "two", "mine"), (403, "two", "yours\nours")]
+    rows[-2] = (402, "three", "mine")
     kept = {r["id"]: r for r in site_lines.drop_boilerplate(spark.createDataFrame(rows, "id long, site string, t string"), "site", "t", counts=("n", "d")).collect()}
     assert kept[1]["t"] == "own 1\n" and kept[1]["d"] == 1
     assert kept[4]["t"] == "own 4\n" and kept[110]["t"] == "own 110\n"
-    assert kept[112]["t"] == "own 112\nmenu\n"  # five pages of twenty: more than a tenth, yet too few
-    assert kept[210]["t"] == "same line\nsecond"  # copies of one page are one page
+    assert kept[112]["t"] == "own 112\n" and kept[112]["d"] == 2  # five pages of twenty are more than a tenth
+    assert kept[210]["t"] == "" and kept[210]["d"] == 2  # each copy is a page
+    assert kept[400]["t"] == "alone\nalone" and kept[401]["t"] == kept[402]["t"] == "mine" and kept[403]["t"] == "yours"
     assert kept[300]["t"] is None and kept[301]["t"] == ""
     many = site_lines.drop_boilerplate(spark.createDataFrame(rows, "id long, site string, t string"), "site", "t", broadcast_bytes=-1).collect()
     assert {(r["id"], r["t"]) for r in many} == {(i, r["t"]) for i, r in kept.items()}
