@@ -7,8 +7,8 @@ at its ends, by two 64-bit hashes; blank lines stay.
 
 A page holds a line once, however often it comes up there, so counts by (site, line) are sums that are combined
 before the shuffle, and neither a hot site nor a hot line meets in one task. What is dropped comes back as one
-map per site (at most lines-per-page / ratio keys), broadcast while all maps together are under
-``broadcast_bytes`` and joined by site beyond it.
+list per site (at most lines-per-page / ratio keys; on a site of a few pages, the lines that two of them share),
+broadcast while all lists together are under ``broadcast_bytes`` and joined by site beyond it.
 
 Defined cases: a NULL site is a site of its own; a NULL text stays NULL and counts like an empty one, as a page
 without lines; each row is a page, repeated rows too; other columns, of any name, are kept. ``counts`` must name
