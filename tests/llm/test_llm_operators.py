@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfwright.llm import kneser_ney, minhash, mixing, queries, repetition, site_lines, superkmers, winnowing
@@ -345,3 +346,11 @@ def test_pipeline(spark, folder, docs, rows, items):
     assert {i for r in mix for i in r["doc_ids"]} <= set(kept["decontamination"])
     size = sum(len(WORDS.findall(t or "")) for t in kept["decontamination"].values())
     assert abs(sum(r["n_words"] for r in mix) - 1.5 * size) <= 64 * 4
+
+
+def test_words_of_texts_in_either_case(spark):
+    texts = ["", "A", "a B1,c", "ÄB É ß", "İI Kk KELVIN", "x Y z", "Ünder_score 12AB", "\x7fA\x7f", "日本 ABC", None]
+    letters = {ord(a): a.lower() for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", winnowing.words_of(F.col("text")).alias("w"), winnowing.count_of(F.col("text")).alias("n"))
+    want = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(letters)) for t in texts]
+    assert [(r["w"], r["n"]) for r in frame.orderBy("i").collect()] == [(w, len(w)) for w in want]
