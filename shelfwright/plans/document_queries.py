@@ -1,10 +1,13 @@
 """Publish and validate over documents packed from the tables: suppliers as owners, parts as products."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shelfwright.operators import findings as fd
 from shelfwright.plans import publish as pub, validate as val
 from shelfwright.plans.registry import query
+from shelfwright.session import shared_folder, spread
 from shelfwright.sources import documents as src
 from shelfwright.sources.vocabularies import Vocabulary
 
@@ -25,8 +28,12 @@ _DOCS = """
 """
 
 
+def _new_folder(t, name: str) -> str:
+    return f"{shared_folder(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _documents(t):
-    """The packed documents, read by the library's own parser."""
+    """The packed documents, read by the library's own parser: by all tasks, however few files the tables are, and once."""
     n = t.supplier.agg(F.count("*")).scalar()
     key, size = F.col("p_partkey"), F.col("p_size")
     own = F.when(size % 10 > 0, key % n).otherwise(key + 1000000)
@@ -50,7 +57,8 @@ def _documents(t):
 
     products = packed(t.part, "software", F.concat(F.lit("part-"), key.cast("string")), product)
     owners = packed(t.supplier, "manufacturers", F.concat(F.lit("owner-"), F.col("s_suppkey").cast("string")), owner)
-    return src.parse(owners.unionByName(products))
+    parsed = src.parse(spread(owners.unionByName(products), "collection", "slug"))
+    return src.store_documents(parsed, _new_folder(t, "packed"))
 
 
 def _published(t):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwright.operators import search
@@ -16,13 +14,9 @@ from shelfwright.plans import (
     validate as val,
 )
 from shelfwright.plans.registry import query
-from shelfwright.session import shared_folder
 from shelfwright.sources import document_files, documents as src, index_store, link_store, tables as store
 
-
-def _new_folder(t, name: str) -> str:
-    return f"{shared_folder(t.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
+_new_folder = packed._new_folder
 
 # ---------------------------------------------------------------- documents as files
 

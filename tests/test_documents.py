@@ -419,3 +419,31 @@ def test_reports_are_written_as_json(clean, tmp_path):
     path = str(tmp_path / "report")
     store.write_report(reports.freshness_summary(clean, as_of()), path)
     assert clean.sparkSession.read.json(path).first()["total_entries"] == 4
+
+
+@pytest.mark.parametrize(
+    "content",
+    [
+        '{"a":-0,"b":[1.5,1e5,-0.0,true,null,{}],"c":" x: #y "}', '{"a":"\\u00e9 \U0001f600"}'.replace("\\u00e9", "é"), "{}",
+        '{"a":1,"a":2}', '{"a":NaN}', '{"a":1e400}', '{"a":"x y"}', '{"a":"x\\ny"}', '{"a" :01}', '{"a":"x\x85y"}', "{a: b}",
+        '{"' + "k" * 2000 + '":1}', '{"a":' + "[" * 3000 + "]" * 3000 + "}", '{"a":"x﻿y"}', '{"a":"\t"}', '{"a":1}\n',
+    ],
+)
+def test_json_documents_are_read_as_yaml_would(content, monkeypatch):
+    loader = src._loader()
+    fast = src._to_json(content, loader)
+    monkeypatch.setattr(src, "_from_json", lambda _: None)
+    assert fast == src._to_json(content, loader)
+
+
+def test_packed_documents_are_parsed_once_and_by_all_cores(spark, monkeypatch):
+    from shelfwright.plans import document_queries as packed
+    from shelfwright.plans.registry import Tables
+
+    raw, parse = [], src.parse
+    monkeypatch.setattr(src, "parse", lambda docs: parse(raw.append(docs) or docs))
+    docs = packed._documents(Tables(spark, "/root/testdata/sf0.001"))
+    assert raw[0].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plan = docs.where("collection = 'manufacturers'")._jdf.queryExecution().toString()
+    assert "MapInPandas" not in plan and "PartitionFilters: [isnotnull(collection" in plan
+    assert docs.where("error IS NULL").count() == docs.count() == 210
