@@ -23,14 +23,20 @@ def write_ranged(df: DataFrame, folder: str, name: str, order: list[str]) -> dic
     path = new_name(folder, name)
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    key = F.col(order[0])
-    ranges = stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")
-    )
+    ranges = file_ranges(stored, order[0])
     ranges.coalesce(1).write.parquet(f"{path}-ranges")
     return {"path": path, "ranges": f"{path}-ranges", "schema": df.schema.json()}
 
 
+def file_ranges(stored: DataFrame, key: str) -> DataFrame:
+    """``(file, low, high, n)`` of a table of files.
+
+    The first and last text of a group are found by sorting its rows, so the rows of a key are counted before, by hashing.
+    """
+    keys = stored.groupBy(F.col("_metadata.file_name").alias("file"), F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    return keys.groupBy("file").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.sum("n").alias("n"))
+
+
 def ranges_of(spark: SparkSession, entry: dict) -> DataFrame:
     """``(file, low, high, n)`` of every file."""
     return spark.read.parquet(entry["ranges"])

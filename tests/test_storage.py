@@ -191,3 +191,14 @@ def test_refresh_opens_and_parses_what_changed(spark, tmp_path):
     third = src.refresh(spark, str(root), state)
     assert (third["read"], third["parsed"]) == (0, 0)
     assert src.refreshed(spark, state, 1).count() == 13
+
+
+def test_the_ranges_of_files_are_found_without_sorting_all_rows(spark, tmp_path, many_files):
+    rows = spark.range(3000).select(F.when(F.col("id") % 9 > 0, F.concat(F.lit("t"), F.col("id") % 5)).alias("term"), "id")
+    entry = ranged.write_ranged(rows, str(tmp_path), "rows", ["term", "id"])
+    stored = ranged.read_ranged(spark, entry)
+    plan = ranged.file_ranges(stored, "term")._jdf.queryExecution().executedPlan().toString()
+    lowest = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
+    assert "HashAggregate(" in lowest
+    want = stored.groupBy(F.col("_metadata.file_name")).agg(F.min("term"), F.max("term"), F.count("*"))
+    assert sorted(map(str, map(tuple, ranged.ranges_of(spark, entry).collect()))) == sorted(map(str, map(tuple, want.collect())))
