@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from shelfwright.session import spread
 from shelfwright.sources import files
 
 FORMAT = "document_files"
@@ -131,9 +132,9 @@ def read_named(names: DataFrame, root: str) -> DataFrame:
 
 
 def write_files(docs: DataFrame, root: str) -> int:
-    """Write ``(collection, slug, content)`` as one file per row, from the tasks; the number of files.
+    """Write ``(collection, slug, content)`` as one file per row, from all tasks; the number of files.
 
-    A task that is run again writes the same files again, each under another name first.
+    Rows are dealt anew, as a table in one file would have one task write them all. A task that is run again writes the same files again, each under another name first.
     """
     picked = docs.select(F.col("collection").cast("string"), F.col("slug").cast("string"), F.col("content").cast("binary"))
 
@@ -145,5 +146,5 @@ def write_files(docs: DataFrame, root: str) -> int:
                 files.write_file(f"{root}/{row['collection']}/{row['slug']}{ENDINGS[0]}", row["content"] or b"")
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
 
-    written = picked.mapInArrow(run, "n long")
+    written = spread(picked, "collection", "slug").mapInArrow(run, "n long")
     return written.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]

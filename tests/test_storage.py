@@ -202,3 +202,16 @@ def test_the_ranges_of_files_are_found_without_sorting_all_rows(spark, tmp_path,
     assert "HashAggregate(" in lowest
     want = stored.groupBy(F.col("_metadata.file_name")).agg(F.min("term"), F.max("term"), F.count("*"))
     assert sorted(map(str, map(tuple, ranged.ranges_of(spark, entry).collect()))) == sorted(map(str, map(tuple, want.collect())))
+
+
+def test_files_are_written_by_all_cores(spark, tmp_path):
+    docs = spark.range(60).coalesce(1).select(
+        F.lit("software").alias("collection"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("slug"), F.lit("a: 1").alias("content")
+    )
+    context = spark.sparkContext
+    context.setJobGroup("written files", "")
+    assert document_files.write_files(docs, str(tmp_path)) == 60
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("written files") for s in tracker.getJobInfo(j).stageIds]
+    assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) >= context.defaultParallelism
