@@ -299,6 +299,14 @@ def test_boilerplate_is_judged_by_site(spark):
     assert {(r["id"], r["t"]) for r in many} == {(i, r["t"]) for i, r in kept.items()}
 
 
+def test_lines_of_pages_are_found_once_and_whatever_the_tags(spark):
+    html = ["<p>a</p>" + "<br> " * 20_000 + "b", " x <i>y</i>\n<b> z < 1", "<script>s</script><!-- c -->", None]
+    pages = spark.createDataFrame([(i, f"http://h{i}.example/", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    lines = site_lines.page_lines(pages)
+    assert "regexp" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["page_id"]: r["text"] for r in lines.collect()} == {0: "a\nb", 1: "x\ny\nz < 1", 2: "", 3: None}
+
+
 def test_token_counts_and_private_data(spark, folder, rows):
     tokens = pytest.importorskip("shelfwright.llm.tokens")
     public = pytest.importorskip("public_tokenizers")
