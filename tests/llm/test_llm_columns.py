@@ -168,6 +168,21 @@ def test_packed_strings_and_counts_survive():
     assert [a.tolist() for a in kneser_ney.expand(kneser_ney.squeeze(columns))] == [c.tolist() for c in columns]
 
 
+def test_stored_ngrams_are_found_and_small(tmp_path):
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 64, 100_000, np.uint64))
+    counts = np.where(rng.random(len(keys)) < 0.01, rng.integers(1, 1 << 40, len(keys)), rng.integers(1, 4, len(keys)))
+    kinds = [np.where(rng.random(len(keys)) < 0.02, rng.integers(1, 2000, len(keys)), 1 + j) for j in range(4)]
+    unseen = np.setdiff1d(rng.integers(0, 1 << 64, 10_000, np.uint64), keys)
+    for name, values, bits in (("gram3", [counts], 4), ("context3", kinds, 8)):
+        for n in (len(keys), 1, 2):
+            kneser_ney.save_buckets(str(tmp_path), name, n, keys[:n], [v[:n] for v in values], bits)
+            found = kneser_ney.opened(str(tmp_path), name, n).at(keys[:n])
+            assert [f.tolist() for f in found] == [v[:n].tolist() for v in values]
+        assert all(not f.any() for f in kneser_ney.opened(str(tmp_path), name, len(keys)).at(unseen))
+    assert (tmp_path / "gram3" / str(len(keys))).stat().st_size < 5.5 * len(keys)  # a plain hash alone takes eight bytes
+
+
 def test_shingle_sets_by_size():
     texts = [None, "", " \n", "one", "One two", "a b a b a", "É a"]
     for k in (2, 5):

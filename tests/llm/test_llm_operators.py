@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pathlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfwright.llm import kneser_ney, minhash, mixing, queries, repetition, site_lines, superkmers, winnowing
+from shelfwright.session import shared_folder
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -266,6 +268,16 @@ def test_trigram_model_adds_up_to_one(spark, docs):
     assert known[best] == "word5"
 
 
+def test_language_model_counts_leave_no_checkpoint(spark, tmp_path):
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 50}" for j in range(40))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shared = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.glob("rdd-*"))
+    model = kneser_ney.train(docs, folder=str(tmp_path / "model"))
+    assert set(shared.glob("rdd-*")) == before
+    assert (model.tokens, model.types) == (30 * 41, len({w for _, t in rows for w in t.split()}) + 1)
+
+
 def test_empty_tables(docs, items, spark):
     none = docs.limit(0)
     assert repetition.repetition_stats(none).collect() == [] and repetition.keep_quality(none).collect() == []
