@@ -183,6 +183,16 @@ def test_stored_ngrams_are_found_and_small(tmp_path):
     assert (tmp_path / "gram3" / str(len(keys))).stat().st_size < 5.5 * len(keys)  # a plain hash alone takes eight bytes
 
 
+def test_numbers_of_ngrams_are_distinct_whether_they_fit_or_not():
+    ranks = np.random.default_rng(2).integers(0, 9, 500).astype(np.uint64)
+    places = np.arange(2, 500)
+    want = [tuple(ranks[i - 2 : i + 1].tolist()) for i in places]
+    for kinds in (9, 1 << 22):
+        numbers = kneser_ney.ordered_grams(ranks, kinds, places, 3).tolist()
+        assert len(set(numbers)) == len(set(want)) == len(set(zip(numbers, want)))
+        assert not kneser_ney.fits(kinds, 3) or [g for _, g in sorted(zip(numbers, want))] == sorted(want)
+
+
 def test_shingle_sets_by_size():
     texts = [None, "", " \n", "one", "One two", "a b a b a", "É a"]
     for k in (2, 5):
