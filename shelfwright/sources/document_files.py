@@ -1,26 +1,29 @@
-"""A data source and a sink for folders of very many small documents.
+"""A source and a sink for folders of very many small documents.
 
-A file per task would drown the scheduler, and a file per split the planner. The driver lists names and sizes, and
-deals the files to tasks so that all tasks read about as much (``balanced``): the largest first, each to the task that has the
-least, where opening a file counts as ``OPEN_COST`` bytes. A task reads its files one by one. A file that cannot be read
-becomes a row with its ``problem`` and no content.
+A file per task would drown the scheduler, a file per split the planner, and the names of all files the driver. So names are
+rows: a task reads those of a folder as they come, all tasks ask for sizes (``listing``), and the files are dealt so that all tasks read about as
+much (``dealt``): the largest first, each to the task that has the least, where opening a file counts as ``OPEN_COST`` bytes. The
+driver knows the number of files and their bytes. A task reads its files one by one. A file that cannot be read becomes a row with its
+``problem`` and no content.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from shelfwright.session import spread
+from shelfwright.session import durable, spread
 from shelfwright.sources import files
 
 FORMAT = "document_files"
 RAW = "collection string, slug string, path string, content binary, problem string"
+LISTING = "collection string, name string, size long, changed long"
 ENDINGS = (".yaml", ".yml")
 OPEN_COST = 64 << 10
 TASK_BYTES = 64 << 20
@@ -37,17 +40,25 @@ class Share(InputPartition):
 def balanced(sizes: list[int], task_bytes: int = TASK_BYTES, least_tasks: int = 1) -> list[list[int]]:
     """Places of ``sizes`` in groups of about equal weight: as many as the bytes ask for, or at least ``least_tasks`` as
     long as there is a file for each."""
-    weights = [size + OPEN_COST for size in sizes]
-    count = min(len(sizes), max(least_tasks, -(-sum(weights) // task_bytes)))
+    count = _tasks(len(sizes), sum(sizes), task_bytes, least_tasks)
     groups: list[list[int]] = [[] for _ in range(count)]
-    heap = [(0, g) for g in range(count)]
-    for i in sorted(range(len(sizes)), key=lambda i: -weights[i]):
-        weight, g = heapq.heappop(heap)
+    for i, g in _each_to_the_lightest(sizes, [(0, g) for g in range(count)]):
         groups[g].append(i)
-        heapq.heappush(heap, (weight + weights[i], g))
     return groups
 
 
+def _tasks(files_: int, size: int, task_bytes: int, least_tasks: int) -> int:
+    return min(files_, max(least_tasks, -(-(size + files_ * OPEN_COST) // task_bytes)))
+
+
+def _each_to_the_lightest(sizes: list[int], loads: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Places of ``sizes``, the largest first, each with the group that takes it. ``loads``, a heap of weights and groups, goes on."""
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        weight, g = loads[0]
+        heapq.heapreplace(loads, (weight + sizes[i] + OPEN_COST, g))
+        yield i, g
+
+
 class DocumentReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.root = options["path"].rstrip("/")
@@ -89,7 +100,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class DocumentFiles(DataSource):
-    """``spark.read.format("document_files").option("collections", "a,b").load(root)``."""
+    """``spark.read.format("document_files").option("collections", "a,b").load(root)``, once registered: for folders whose
+    names the driver can hold. ``read_files`` takes folders of any size."""
 
     @classmethod
     def name(cls) -> str:
@@ -103,21 +115,56 @@ class DocumentFiles(DataSource):
 
 
 def read_files(spark: SparkSession, root: str, collections: list[str], task_bytes: int = TASK_BYTES) -> DataFrame:
-    """``(collection, slug, path, content, problem)`` of every document; a collection without a folder has none."""
-    spark.dataSource.register(DocumentFiles)
-    reader = spark.read.format(FORMAT).option("collections", ",".join(collections)).option("taskBytes", task_bytes)
-    return reader.option("leastTasks", spark.sparkContext.defaultParallelism).load(root)
+    """``(collection, slug, path, content, problem)`` of every document; a collection without a folder has none.
+
+    The folders are listed now, and the files read by whatever runs over them."""
+    listed = durable(listing(spark, root, collections))
+    return read_named(dealt(listed, task_bytes, spark.sparkContext.defaultParallelism), root)
 
 
 def listing(spark: SparkSession, root: str, collections: list[str]) -> DataFrame:
-    """``(collection, name, size, changed)`` of every document, without its content; ``changed`` is in nanoseconds."""
-    rows = [
-        (collection, found.base_name, found.size, found.mtime_ns)
-        for collection in collections
-        for found in files.listed(f"{root}/{collection}")
-        if found.base_name.endswith(ENDINGS) and not found.base_name.startswith((".", "_"))
-    ]
-    return spark.createDataFrame(rows, "collection string, name string, size long, changed long")
+    """``(collection, name, size, changed)`` of every document, without its content; ``changed`` is in nanoseconds.
+
+    A task for each folder reads its names, and all tasks ask for what the names do not tell. A folder that the driver sees and
+    a task does not is an error; a file that is gone by then is left to the reading, which notes its problem."""
+    folders = [c for c in collections if files.is_folder(f"{root}/{c}")]
+
+    def names(batches):
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                for part in files.listed_in_parts(f"{root}/{folders[i]}"):
+                    yield _listed((folders[i], *f) for f in part if f[0].endswith(ENDINGS) and not f[0].startswith((".", "_")))
+
+    def known(batches):
+        for batch in batches:
+            rows = [tuple(r.values()) for r in batch.to_pylist()]
+            yield _listed(r if r[2] is not None else (*r[:2], *(files.stat(f"{root}/{r[0]}/{r[1]}") or (0, 0))) for r in rows)
+
+    named = spark.range(0, len(folders), 1, max(1, len(folders))).mapInArrow(names, LISTING)
+    return spread(named, "collection", "name").mapInArrow(known, LISTING)
+
+
+def _listed(rows: Iterable[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+    columns = list(zip(*rows)) or [()] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["collection", "name", "size", "changed"])
+
+
+def dealt(listed: DataFrame, task_bytes: int = TASK_BYTES, least_tasks: int = 1) -> DataFrame:
+    """The rows of a listing in as many partitions as ``balanced`` makes groups, of about equal weight.
+
+    Each task deals its own rows to all partitions and holds a weight for each of these; tasks begin with different ones."""
+    files_, size = listed.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    count = max(1, _tasks(files_, size, task_bytes, least_tasks))
+
+    def run(batches):
+        first = TaskContext.get().partitionId()
+        loads = [(turn, (first + turn) % count) for turn in range(count)]  # a byte apart, so that they are taken in this order
+        for batch in batches:
+            groups = dict(_each_to_the_lightest(batch.column("size").to_pylist(), loads))
+            yield batch.append_column("part", pa.array([groups[i] for i in range(batch.num_rows)], pa.int32()))
+
+    return listed.mapInArrow(run, f"{LISTING}, part int").repartitionById(count, "part").drop("part")
 
 
 def read_named(names: DataFrame, root: str) -> DataFrame:

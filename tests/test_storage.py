@@ -215,3 +215,45 @@ def test_files_are_written_by_all_cores(spark, tmp_path):
     tracker = context.statusTracker()
     stages = [s for j in tracker.getJobIdsForGroup("written files") for s in tracker.getJobInfo(j).stageIds]
     assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) >= context.defaultParallelism
+
+
+def test_the_driver_never_holds_the_names_of_files(spark, tmp_path, monkeypatch):
+    for i in range(40):
+        files.write_file(f"{tmp_path}/software/s{i}.yaml", b"a: 1" * (1 + 50 * i))
+    (tmp_path / "software" / ".s9.yaml.part").write_text("being written")
+    (tmp_path / "software" / "folder.yaml").mkdir()
+    whole = {f.base_name: (f.size, f.mtime_ns) for f in files.listed(f"{tmp_path}/software") if f.base_name[0] != "."}
+
+    def refused(*_):
+        raise AssertionError("listed by the driver")
+
+    monkeypatch.setattr(files, "listed", refused)
+    monkeypatch.setattr(files, "listed_in_parts", refused, raising=False)
+    read = document_files.read_files(spark, str(tmp_path), ["software", "hardware"], 10 * document_files.OPEN_COST)
+    assert {r["slug"]: len(r["content"]) for r in read.collect()} == {n.removesuffix(".yaml"): size for n, (size, _) in whole.items()}
+    assert "BatchScan" not in read._jdf.queryExecution().toString()  # planned in a process beside the driver
+    listed = document_files.listing(spark, str(tmp_path), ["hardware", "software"])
+    assert {r["name"]: (r["size"], r["changed"]) for r in listed.collect()} == whole
+
+
+def test_names_are_dealt_by_bytes_in_all_tasks(spark):
+    sizes = F.when(F.col("id") % 1000 == 0, 1 << 20).otherwise(200)
+    names = spark.range(0, 6000, 1, 5).select(F.lit("a").alias("collection"), F.col("id").cast("string").alias("name"), sizes.cast("long").alias("size"), "id")
+    names = names.withColumnRenamed("id", "changed")
+    dealt = document_files.dealt(names, 64 << 20, 8)
+    loads = [r[0] for r in dealt.groupBy(F.spark_partition_id()).agg(F.sum(F.col("size") + document_files.OPEN_COST)).collect()]
+    assert len(loads) == 8 and max(loads) - min(loads) < 3 << 20
+    assert dealt.exceptAll(names).isEmpty() and dealt.count() == 6000
+    assert document_files.dealt(names.where("false"), 64 << 20, 8).count() == 0
+
+
+def test_a_folder_is_listed_in_parts(tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LISTED", 3)
+    for i in range(8):
+        files.write_file(f"{tmp_path}/a/n{i}", b"x")
+    parts = list(files.listed_in_parts(f"file://{tmp_path}/a"))
+    assert [len(p) for p in parts] == [3, 3, 2] and sorted(f[0] for p in parts for f in p) == [f"n{i}" for i in range(8)]
+    assert files.stat(f"{tmp_path}/a/n0")[0] == 1 and files.stat(f"{tmp_path}/none") is None
+    assert files.is_folder(f"{tmp_path}/a") and not files.is_folder(f"{tmp_path}/none") and not files.is_folder(f"{tmp_path}/a/n0")
+    with pytest.raises(FileNotFoundError):
+        next(files.listed_in_parts(f"{tmp_path}/none"))
